@@ -30,7 +30,7 @@ MEMBER_KEYS = tuple(
 PROVIDER_INPUT = PROVIDER_KEYS + tuple(
     """claim_amount paid_amount denied_amount pending_amount adjusted_amount is_paid_claim
     is_denied_claim is_pending_claim is_adjusted_claim is_out_of_network is_high_value_claim
-    processing_delay_days member_age""".split()
+    processing_delay_days member_age member_sk""".split()
 )
 DENIAL_INPUT = DENIAL_KEYS + tuple(
     "provider_sk member_sk claim_id claim_amount is_denied_claim processing_delay_days".split()
@@ -63,7 +63,7 @@ def provider_performance(fact: DataFrame) -> DataFrame:
         ],
         F.count_if("is_out_of_network").alias("out_of_network_claims"),
         F.count_if("is_high_value_claim").alias("high_value_claims"),
-        F.count_distinct("member_id").alias("unique_members"),
+        F.count_distinct("member_sk").alias("unique_members"),
         F.avg("processing_delay_days").alias("avg_processing_delay_days"),
         F.avg("member_age").alias("avg_member_age"),
     )

@@ -8,6 +8,11 @@ from claimloom.plans import (  # noqa: F401  (each module registers its queries)
     ingest,
     scalars,
     checks,
+    history,
+    joins,
+    gold,
+    boards,
+    measures,
 )
 
 

@@ -84,7 +84,7 @@ def main(folder: str, prefixes: list[str]) -> int:
             df = build(spark, folder)
             found = differences(df, db, sqls[name]) if name in sqls else f"rows {df.count()}"
         except Exception as error:
-            found = f"{type(error).__name__}: {str(error)[:700]}"
+            found = f"{type(error).__name__}: {str(error).strip().splitlines()[0][:300]}"
         took = time.time() - start
         state = "ok" if found is None else ("--" if name not in sqls and found.startswith("rows") else "BAD")
         bad += state == "BAD"
