@@ -13,6 +13,8 @@ from claimloom.plans import (  # noqa: F401  (each module registers its queries)
     gold,
     boards,
     measures,
+    streams,
+    audits,
 )
 
 
