@@ -1,7 +1,9 @@
 """Anomaly flags on claims, built so that no window or join meets all claims of one key.
 
 Day counts per key are folded before the shuffle, so a window sees one row per key and day. What
-comes back to the claims is only the set of flagged keys.
+comes back to the claims is only the set of flagged keys, or one row per provider. These sets are
+written first: Spark then knows their exact size, and joins them by broadcast without moving the
+claims when they are small, by sort-merge when they are not.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 from claimloom.config import Settings
 from claimloom.functions import fields as x
 from claimloom.functions.exact import money_sum, ratio
+from claimloom.sources.scratch import written
 
 
 def dense_days(
@@ -35,7 +38,7 @@ def dense_days(
 
 def flag_members(claims: DataFrame, found: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
     """True for claims whose ``keys`` are in ``found`` (unique on them); null keys compare equal."""
-    marked = found.select(*[F.col(k).alias(f"__{k}") for k in keys], F.lit(True).alias(flag))
+    marked = written(found, flag).select(*[F.col(k).alias(f"__{k}") for k in keys], F.lit(True).alias(flag))
     on = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
     condition = on[0]
     for c in on[1:]:
@@ -65,7 +68,7 @@ def provider_profile(claims: DataFrame) -> DataFrame:
 
 
 def _with_provider_profile(claims: DataFrame) -> DataFrame:
-    profile = provider_profile(claims).withColumnRenamed("provider_id", "__provider")
+    profile = written(provider_profile(claims), "provider_profile").withColumnRenamed("provider_id", "__provider")
     return claims.join(profile, F.col("provider_id") == F.col("__provider"), "left").drop("__provider")
 
 

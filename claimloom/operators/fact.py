@@ -25,9 +25,13 @@ COLUMNS = tuple(
 )
 
 
-def lookups(frames: Mapping[str, Callable[[], DataFrame]]) -> list[Lookup]:
-    """Lookups in join order; ``frames`` maps a dimension name to a function that builds it."""
-    date_frame = frames["date"]
+Frames = Mapping[str, Callable[[], DataFrame]]
+
+
+def lookups(frames: Frames, sources: Frames | None = None) -> list[Lookup]:
+    """Lookups in join order. ``frames`` maps a dimension name to a function that builds it;
+    ``sources`` to the table that bounds its rows, where that is known."""
+    date_frame, source = frames["date"], (sources or {}).get
     return [
         Lookup(
             "member",
@@ -43,6 +47,7 @@ def lookups(frames: Mapping[str, Callable[[], DataFrame]]) -> list[Lookup]:
                 "member_is_eligible": "is_eligible",
             },
             lambda: frames["member"]().filter("is_current"),
+            source=source("member"),
         ),
         Lookup(
             "provider",
@@ -57,6 +62,7 @@ def lookups(frames: Mapping[str, Callable[[], DataFrame]]) -> list[Lookup]:
                 "provider_name": "provider_name",
             },
             lambda: frames["provider"]().filter("is_current"),
+            source=source("provider"),
         ),
         Lookup("diagnosis", "diagnosis_code", "diagnosis_code", {"diagnosis_sk": "diagnosis_sk"}, frames["diagnosis"]),
         Lookup(
@@ -66,7 +72,14 @@ def lookups(frames: Mapping[str, Callable[[], DataFrame]]) -> list[Lookup]:
             {"procedure_sk": "procedure_sk", "procedure_category": "procedure_category"},
             frames["procedure"],
         ),
-        Lookup("payer", "payer_id", "payer_id", {"payer_sk": "payer_sk", "payer_type": "payer_type"}, frames["payer"]),
+        Lookup(
+            "payer",
+            "payer_id",
+            "payer_id",
+            {"payer_sk": "payer_sk", "payer_type": "payer_type"},
+            frames["payer"],
+            source=source("payer"),
+        ),
         Lookup(
             "service_day",
             "service_date",
@@ -124,35 +137,29 @@ def measures(cfg: Settings) -> dict[str, Derived]:
 
 def fact_claims(
     claims: DataFrame | Callable[[Sequence[str]], DataFrame],
-    frames: Mapping[str, Callable[[], DataFrame]],
+    frames: Frames,
     cfg: Settings,
     columns: Sequence[str] = COLUMNS,
-    only: Column | None = None,
+    *,
+    sources: Frames | None = None,
 ) -> DataFrame:
     """``columns`` of the fact. A dimension that no requested column comes from is not joined.
 
     ``claims`` may be a function of the claim columns needed, so that a view over several tables can
-    leave out joins too. ``only`` filters claims before any join.
+    leave out joins too.
     """
-    looked_up, derived = lookups(frames), measures(cfg)
+    looked_up, derived = lookups(frames, sources), measures(cfg)
     need = required(columns, looked_up, derived)
     given = {name for lk in looked_up for name in lk.gives} | set(derived)
     base = claims(sorted(need - given)) if callable(claims) else claims
-    base = base if only is None else base.filter(only)
     return star(base, looked_up, derived, columns)
 
 
-def silver_enrich(claims: DataFrame, frames: Mapping[str, Callable[[], DataFrame]]) -> DataFrame:
+def silver_enrich(claims: DataFrame, frames: Frames) -> DataFrame:
     """Claims with the texts of the diagnosis, procedure and payer references. The references hold
     one row per key, so the number of claims stays the same."""
     parts = [
-        Lookup(
-            name,
-            key,
-            key,
-            {c: c for c in gives},
-            frames[name],
-        )
+        Lookup(name, key, key, {c: c for c in gives}, frames[name])
         for name, key, gives in (
             ("diagnosis", "diagnosis_code", ("diagnosis_desc", "diagnosis_category")),
             ("procedure", "procedure_code", ("procedure_desc", "procedure_category")),

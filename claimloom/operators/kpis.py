@@ -271,18 +271,32 @@ def top_per_group(df: DataFrame, group: str, item: str, k: int = 3) -> DataFrame
     return counted.withColumn("place", rank).filter(F.col("place") <= k)
 
 
-def denials_by(fact: DataFrame, dimension: str) -> DataFrame:
-    """Denial rate and amount per value and month of one dimension, in a common shape."""
-    return (
-        fact.groupBy(F.col(dimension).cast("string").alias("value"), F.trunc("service_date", "MM").alias("month"))
-        .agg(
-            F.count("*").alias("total_claims"),
-            F.count_if(_denied()).alias("denied_claims"),
-            ratio(F.count_if(_denied()), F.count("*")).alias("denial_rate"),
-            money_sum("denied_amount").alias("denied_amount"),
-        )
-        .select(F.lit(dimension).alias("dimension"), "*")
+def _long_form(dimensions: Sequence[str]) -> tuple[Column, Column]:
+    """Name and value of the one dimension that a grouping set keeps."""
+    name = value = None
+    for c in dimensions:
+        kept = F.grouping(c) == 0
+        text = F.col(c).cast("string")
+        name = F.when(kept, F.lit(c)) if name is None else name.when(kept, F.lit(c))
+        value = F.when(kept, text) if value is None else value.when(kept, text)
+    return name, value
+
+
+def denials_by(fact: DataFrame, dimensions: Sequence[str]) -> DataFrame:
+    """Denial rate and amount per value and month of each dimension, in long form. Grouping sets
+    read the claims once for all dimensions and combine rows before the shuffle."""
+    rows = fact.withColumn("month", F.trunc("service_date", "MM"))
+    name, value = _long_form(dimensions)
+    sets = [[F.col(c), F.col("month")] for c in dimensions]
+    grouped = rows.groupingSets(sets, *dimensions, "month").agg(
+        name.alias("dimension"),
+        value.alias("value"),
+        F.count("*").alias("total_claims"),
+        F.count_if(_denied()).alias("denied_claims"),
+        ratio(F.count_if(_denied()), F.count("*")).alias("denial_rate"),
+        money_sum("denied_amount").alias("denied_amount"),
     )
+    return grouped.drop(*dimensions)
 
 
 def amount_vs_frequency(fact: DataFrame, key: str) -> DataFrame:
@@ -322,16 +336,17 @@ def utilization_by(fact: DataFrame, key: str) -> DataFrame:
     )
 
 
-def patient_mix(fact: DataFrame, attribute: str) -> DataFrame:
-    """Members of a provider by age group or state and their share. Members are counted per provider
-    and attribute; the share's total runs over those few rows."""
-    mix = fact.groupBy("provider_id", F.col(attribute).alias("value")).agg(
-        F.count_distinct("member_id").alias("members")
-    )
-    total = F.sum("members").over(Window.partitionBy("provider_id"))
-    return mix.withColumn("share", ratio("members", total)).select(
-        "provider_id", F.lit(attribute).alias("attribute"), "value", "members", "share"
+def patient_mix(fact: DataFrame, attributes: Sequence[str]) -> DataFrame:
+    """Members of a provider by age group, state and so on, and their share. Members are counted per
+    provider and attribute value; the share's total runs over those few rows."""
+    name, value = _long_form(attributes)
+    sets = [[F.col("provider_id"), F.col(c)] for c in attributes]
+    unique = fact.select("provider_id", "member_id", *attributes).distinct()
+    mix = unique.groupingSets(sets, "provider_id", *attributes).agg(
+        name.alias("attribute"), value.alias("value"), F.count("member_id").alias("members")
     )
+    total = F.sum("members").over(Window.partitionBy("provider_id", "attribute"))
+    return mix.select("provider_id", "attribute", "value", "members", ratio("members", total).alias("share"))
 
 
 def service_use(fact: DataFrame, groups: Sequence[str]) -> DataFrame:

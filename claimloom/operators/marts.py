@@ -7,11 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimloom.config import Settings
+from claimloom.config import OTHER, Settings
 from claimloom.functions import fields as x
 from claimloom.functions.exact import count_stddev, money_avg, money_sum, rate_avg, ratio
 from claimloom.operators.dashboards import denial_pct
-from claimloom.operators.ranking import with_row_number
+from claimloom.operators.fact import Frames, lookups
+from claimloom.operators.ranking import with_row_number, with_row_numbers
+from claimloom.operators.star import star
+
+STATUSES = ("paid", "denied", "pending", "adjusted")
 
 # The grains of the published marts.
 PROVIDER_KEYS = tuple(
@@ -27,77 +31,118 @@ MEMBER_KEYS = tuple(
     """member_sk member_id member_age member_age_group member_gender member_state service_year
     service_quarter service_month""".split()
 )
-PROVIDER_INPUT = PROVIDER_KEYS + tuple(
-    """claim_amount paid_amount denied_amount pending_amount adjusted_amount is_paid_claim
-    is_denied_claim is_pending_claim is_adjusted_claim is_out_of_network is_high_value_claim
-    processing_delay_days member_age member_sk""".split()
+DENIAL_ATTRIBUTES = tuple(c for c in DENIAL_KEYS if c not in ("service_year", "service_quarter", "service_month"))
+# What the marts read from the fact. Attributes of a provider, a member or a month that the grain
+# determines are looked up after the aggregation, on far fewer and narrower rows.
+PROVIDER_INPUT = tuple(
+    """provider_id service_date claim_status claim_amount paid_amount denied_amount pending_amount
+    adjusted_amount is_high_value_claim processing_delay_days member_sk member_age""".split()
 )
-DENIAL_INPUT = DENIAL_KEYS + tuple(
-    "provider_sk member_sk claim_id claim_amount is_denied_claim processing_delay_days".split()
+DENIAL_INPUT = DENIAL_ATTRIBUTES + tuple(
+    "service_date provider_sk member_sk claim_id claim_amount is_denied_claim processing_delay_days".split()
 )
-MEMBER_INPUT = MEMBER_KEYS + tuple(
-    """claim_amount paid_amount denied_amount is_paid_claim is_denied_claim is_high_value_claim
-    provider_sk payer_sk provider_specialty_category diagnosis_code procedure_code
+MEMBER_INPUT = tuple(
+    """member_id service_date claim_status claim_amount paid_amount denied_amount is_high_value_claim
+    provider_sk provider_specialty_category payer_sk diagnosis_code procedure_code
     processing_delay_days""".split()
 )
 
 
+def _month() -> Column:
+    return F.trunc("service_date", "MM").alias("service_date")
+
+
+def _status_count(status: str) -> Column:
+    return F.count_if(F.col("claim_status") == status)
+
+
 def _with_rates(df: DataFrame, rates: dict[str, tuple[str, str]]) -> DataFrame:
     return df.withColumns({name: ratio(a, b) for name, (a, b) in rates.items()})
 
 
-def provider_performance(fact: DataFrame) -> DataFrame:
-    totals = fact.groupBy(*PROVIDER_KEYS).agg(
+def provider_performance(fact: DataFrame, frames: Frames) -> DataFrame:
+    """Provider by month. Grouped by provider and month start; names, categories and calendar
+    columns follow from those two."""
+    totals = fact.groupBy("provider_id", _month()).agg(
         F.count("*").alias("total_claims"),
         money_sum("claim_amount").alias("total_claim_amount"),
         money_avg("claim_amount").alias("avg_claim_amount"),
         F.max("claim_amount").alias("max_claim_amount"),
         F.min("claim_amount").alias("min_claim_amount"),
-        *[
-            money_sum(f"{s}_amount").alias(f"total_{s}_amount")
-            for s in ("paid", "denied", "pending", "adjusted")
-        ],
-        *[
-            F.count_if(f"is_{s}_claim").alias(f"{s}_claims")
-            for s in ("paid", "denied", "pending", "adjusted")
-        ],
-        F.count_if("is_out_of_network").alias("out_of_network_claims"),
+        *[money_sum(f"{s}_amount").alias(f"total_{s}_amount") for s in STATUSES],
+        *[_status_count(s.upper()).alias(f"{s}_claims") for s in STATUSES],
         F.count_if("is_high_value_claim").alias("high_value_claims"),
         F.count_distinct("member_sk").alias("unique_members"),
         F.avg("processing_delay_days").alias("avg_processing_delay_days"),
         F.avg("member_age").alias("avg_member_age"),
     )
-    counted = ("denied", "paid", "pending", "adjusted", "out_of_network", "high_value")
-    names = {"denied": "denial_rate"}
-    rates = {names.get(c, f"{c}_rate"): (f"{c}_claims", "total_claims") for c in counted}
-    rates["payment_rate"] = ("total_paid_amount", "total_claim_amount")
-    rates["avg_claim_per_member"] = ("total_claims", "unique_members")
-    return _with_rates(totals, rates)
+    wide = _widened(totals, frames, PROVIDER_KEYS)
+    outside = F.coalesce(F.col("provider_network_status") == "OUT_OF_NETWORK", F.lit(False))
+    counted = wide.withColumn(
+        "out_of_network_claims", F.when(outside, F.col("total_claims")).otherwise(F.lit(0))
+    )
+    rates = {f"{c}_rate": (f"{c}_claims", "total_claims") for c in ("paid", "pending", "adjusted")}
+    rates |= {
+        "denial_rate": ("denied_claims", "total_claims"),
+        "out_of_network_rate": ("out_of_network_claims", "total_claims"),
+        "high_value_rate": ("high_value_claims", "total_claims"),
+        "payment_rate": ("total_paid_amount", "total_claim_amount"),
+        "avg_claim_per_member": ("total_claims", "unique_members"),
+    }
+    return _with_rates(counted, rates)
+
+
+def _widened(totals: DataFrame, frames: Frames, keys: Sequence[str]) -> DataFrame:
+    """Grouped rows with the dimension columns of ``keys``. The month start takes the place of the
+    service date, so the date range must begin on the first of a month."""
+    measures = [c for c in totals.columns if c not in keys and c != "service_date"]
+    return star(totals, lookups(frames), {}, [*keys, *measures])
 
 
 def denial_trends(fact: DataFrame) -> DataFrame:
-    """Denied claims and all claims of a group from one pass: the denied measures are conditional,
-    and groups without a denial are left out at the end. No join back to the totals."""
+    """Denials and totals per group. Totals come from all claims in one narrow aggregation; only the
+    denied claims go through the distinct counts, which multiply their input. Both sides are
+    hash-partitioned by the same struct, so joining them moves no rows, and null keys compare equal."""
+    key = F.struct(F.trunc("service_date", "MM").alias("month"), *DENIAL_ATTRIBUTES).alias("__key")
+    rows = fact.select(
+        key,
+        "is_denied_claim",
+        "claim_amount",
+        "processing_delay_days",
+        "provider_sk",
+        "member_sk",
+        "claim_id",
+    )
     denied = F.col("is_denied_claim")
 
     def if_denied(column: str) -> Column:
         return F.when(denied, F.col(column))
 
-    grouped = fact.groupBy(*DENIAL_KEYS).agg(
+    totals = rows.groupBy("__key").agg(
         F.count_if(denied).alias("denied_claims_count"),
         money_sum(if_denied("claim_amount")).alias("denied_amount"),
         money_avg(if_denied("claim_amount")).alias("avg_denied_amount"),
         F.max(if_denied("claim_amount")).alias("max_denied_amount"),
         F.min(if_denied("claim_amount")).alias("min_denied_amount"),
-        F.count_distinct(if_denied("provider_sk")).alias("unique_providers"),
-        F.count_distinct(if_denied("member_sk")).alias("unique_members"),
-        F.count_distinct(if_denied("claim_id")).alias("unique_claims_denied"),
         F.avg(if_denied("processing_delay_days")).alias("avg_processing_delay_days"),
         F.count("*").alias("total_claims_count"),
         money_sum("claim_amount").alias("total_amount"),
     )
-    kept = grouped.filter("denied_claims_count > 0").withColumn(
-        "denial_date", x.month_start(F.col("service_year"), F.col("service_month"))
+    distinct = rows.filter(denied).groupBy("__key").agg(
+        F.count_distinct("provider_sk").alias("unique_providers"),
+        F.count_distinct("member_sk").alias("unique_members"),
+        F.count_distinct("claim_id").alias("unique_claims_denied"),
+    )
+    joined = totals.filter("denied_claims_count > 0").join(distinct, "__key")
+    month = F.col("__key.month")
+    measures = [c for c in joined.columns if c != "__key"]
+    kept = joined.select(
+        F.year(month).alias("service_year"),
+        F.quarter(month).alias("service_quarter"),
+        F.month(month).alias("service_month"),
+        *[F.col(f"__key.{c}").alias(c) for c in DENIAL_ATTRIBUTES],
+        *measures,
+        month.alias("denial_date"),
     )
     return _with_rates(
         kept,
@@ -108,19 +153,20 @@ def denial_trends(fact: DataFrame) -> DataFrame:
     )
 
 
-def member_utilization(fact: DataFrame, cfg: Settings) -> DataFrame:
-    totals = fact.groupBy(*MEMBER_KEYS).agg(
+def member_utilization(fact: DataFrame, frames: Frames, cfg: Settings) -> DataFrame:
+    """Member by month, grouped by those two alone as in ``provider_performance``."""
+    totals = fact.groupBy("member_id", _month()).agg(
         F.count("*").alias("total_claims"),
         money_sum("claim_amount").alias("total_claim_amount"),
         money_avg("claim_amount").alias("avg_claim_amount"),
         F.max("claim_amount").alias("max_claim_amount"),
         money_sum("paid_amount").alias("total_paid_amount"),
         money_sum("denied_amount").alias("total_denied_amount"),
-        F.count_if("is_paid_claim").alias("paid_claims"),
-        F.count_if("is_denied_claim").alias("denied_claims"),
+        _status_count("PAID").alias("paid_claims"),
+        _status_count("DENIED").alias("denied_claims"),
         F.count_if("is_high_value_claim").alias("high_value_claims"),
         F.count_distinct("provider_sk").alias("unique_providers"),
-        _distinct_labels("provider_specialty_category", [n for n, _ in cfg.specialties] + ["Other"]).alias(
+        _distinct_labels("provider_specialty_category", [n for n, _ in cfg.specialties] + [OTHER]).alias(
             "unique_specialties"
         ),
         F.count_distinct("payer_sk").alias("unique_payers"),
@@ -129,7 +175,7 @@ def member_utilization(fact: DataFrame, cfg: Settings) -> DataFrame:
         F.avg("processing_delay_days").alias("avg_processing_delay_days"),
     )
     rated = _with_rates(
-        totals,
+        _widened(totals, frames, MEMBER_KEYS),
         {
             "denial_rate": ("denied_claims", "total_claims"),
             "high_value_rate": ("high_value_claims", "total_claims"),
@@ -181,11 +227,9 @@ MONTH_TIES = ("total_claim_amount", "provider_id", "service_month", "provider_ne
 
 def with_four_ranks(mart: DataFrame, ties: Sequence[str] = MONTH_TIES) -> DataFrame:
     """Ranks by amount within specialty and region, per quarter and year. The groups are few and
-    grow with the number of providers, so each rank is taken over all tasks."""
+    grow with the number of providers, hence ``with_row_numbers``."""
     order = [F.col("total_claim_amount").desc()] + [F.col(c).asc() for c in ties[1:]]
-    for name, by in RANK_GROUPS.items():
-        mart = with_row_number(mart, name, by, order)
-    return mart
+    return with_row_numbers(mart, RANK_GROUPS, order)
 
 
 def with_bands(mart: DataFrame) -> DataFrame:
@@ -205,10 +249,22 @@ def rollup_rank(mart: DataFrame, grain: Sequence[str], name: str) -> DataFrame:
     return with_row_number(total, name, by, [F.col("total_claim_amount").desc(), F.col("provider_id").asc()])
 
 
+QUARTER_KEYS = ("payer_type", "provider_specialty_category", "service_year", "service_quarter")
+
+
+def quarterly_denials(fact: DataFrame) -> DataFrame:
+    """Denials per payer type, specialty and quarter, from the fact; quarters without one are left out."""
+    denied = F.count_if(F.col("claim_status") == "DENIED")
+    grouped = fact.groupBy(*QUARTER_KEYS).agg(
+        denied.alias("denied_claims_count"), money_sum("denied_amount").alias("denied_amount")
+    )
+    return grouped.filter("denied_claims_count > 0")
+
+
 def denial_growth(mart: DataFrame) -> DataFrame:
-    """Quarterly denials per payer type and specialty with the change to the quarter before. The
-    windows run over at most one row per quarter."""
-    keys = ("payer_type", "provider_specialty_category", "service_year", "service_quarter")
+    """Quarterly denials with the change to the quarter before. Takes the denial mart or
+    ``quarterly_denials``. The windows run over at most one row per quarter."""
+    keys = QUARTER_KEYS
     quarters = mart.groupBy(*keys).agg(
         F.sum("denied_claims_count").alias("denied_claims_count"),
         money_sum("denied_amount").alias("denied_amount"),
@@ -329,7 +385,7 @@ def denial_by_payer(mart: DataFrame, payer_type: str, start, end) -> DataFrame:
         "denial_trend_category",
     )
     mine = mart.filter((F.col("payer_type") == payer_type) & F.col("denial_date").between(start, end))
-    keys = ["payer_type", "provider_specialty_category", "service_year", "service_quarter"]
+    keys = list(QUARTER_KEYS)
     rows = mine.select(
         *keys, "denied_claims_count", "denied_amount", "denial_count_rate", "denial_amount_rate"
     )
@@ -384,7 +440,7 @@ def financial_summary(fact: DataFrame) -> DataFrame:
         money_avg("claim_amount").alias("avg_amount"),
         F.min("claim_amount").alias("min_amount"),
         F.max("claim_amount").alias("max_amount"),
-        *[money_sum(f"{s}_amount").alias(f"total_{s}") for s in ("paid", "denied", "pending", "adjusted")],
+        *[money_sum(f"{s}_amount").alias(f"total_{s}") for s in STATUSES],
     )
 
 

@@ -12,10 +12,17 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimloom.sources.sizes import fits_broadcast
+
 
 @dataclass(frozen=True)
 class Lookup:
-    """``gives`` maps output names to columns of the dimension."""
+    """``gives`` maps output names to columns of the dimension.
+
+    ``source`` is the table whose rows the dimension has at most. Spark estimates a dimension that
+    is itself a join at the product of its inputs; the size of the source decides instead whether
+    the dimension is broadcast.
+    """
 
     name: str
     on: str
@@ -23,6 +30,7 @@ class Lookup:
     gives: Mapping[str, str]
     frame: Callable[[], DataFrame]
     bounded: bool = False  # row count limited by construction, so broadcasting is safe
+    source: Callable[[], DataFrame] | None = None
 
 
 @dataclass(frozen=True)
@@ -56,9 +64,8 @@ def star(
 ) -> DataFrame:
     """``columns`` of ``base`` widened by its lookups and derived columns.
 
-    Joins are plain equi-joins: Spark broadcasts a side that its statistics show to be small, and
-    otherwise sort-merges, where adaptive execution splits hot keys. Only ``bounded`` frames carry
-    a hint.
+    Joins are plain equi-joins: a side is broadcast when its size is known to be small, and
+    sort-merged otherwise, where adaptive execution splits hot keys.
     """
     need = required(columns, lookups, derived)
     out = base
@@ -70,7 +77,8 @@ def star(
         right = lk.frame().select(
             F.col(lk.key).alias(right_key), *[F.col(lk.gives[name]).alias(name) for name in wanted]
         )
-        right = F.broadcast(right) if lk.bounded else right
+        if lk.bounded or (lk.source is not None and fits_broadcast(lk.source())):
+            right = F.broadcast(right)
         out = out.join(right, out[lk.on] == right[right_key], "left").drop(right_key)
     for name, column in derived.items():
         if name in need:

@@ -109,9 +109,9 @@ _TREND = "provider_id, total_claims, total_claim_amount, denial_rate, payment_ra
         WHERE provider_id = 7 AND make_date(service_year, service_month, 1) >= DATE '2000-08-01'""",
 )
 def _(t):
-    fact = t.fact(marts.PROVIDER_INPUT + ("service_date",)).filter("provider_id = 7")
+    fact = t.fact(marts.PROVIDER_INPUT).filter("provider_id = 7")
     months = fact.filter(F.col("service_date") >= F.trunc(F.add_months(t.as_of, -11), "MM"))
-    return d.provider_trend(marts.provider_performance(months), 7)
+    return d.provider_trend(marts.provider_performance(months, t.frames), 7)
 
 
 @query(

@@ -8,6 +8,7 @@ from claimloom.operators.fact import COLUMNS
 from claimloom.plans.model import SETTINGS as C
 from claimloom.plans.registry import query
 from claimloom.plans.sqltext import n_if, pct, rate_avg, ratio, usd, usd_avg
+from claimloom.sources.scratch import written
 
 STATUSES = ("paid", "denied", "pending", "adjusted")
 
@@ -116,21 +117,21 @@ GROWTH = f"SELECT * EXCLUDE (g), g AS qoq_denial_count_growth FROM ({GROWTH})"
 
 # -- marts ---------------------------------------------------------------------------------------
 def provider_mart(t, period=None):
-    fact = t.fact(marts.PROVIDER_INPUT + ("service_date",))
-    return marts.provider_performance(fact if period is None else period(fact, t.as_of))
+    fact = t.fact(marts.PROVIDER_INPUT)
+    return marts.provider_performance(fact if period is None else period(fact, t.as_of), t.frames)
 
 
 def denial_mart(t):
-    return marts.denial_trends(t.fact(marts.DENIAL_INPUT))
+    return marts.denial_trends(written(t.fact(marts.DENIAL_INPUT), "denial-input"))
 
 
 def member_mart(t, period=None):
-    fact = t.fact(marts.MEMBER_INPUT + ("service_date",))
-    return marts.member_utilization(fact if period is None else period(fact, t.as_of), t.cfg)
+    fact = t.fact(marts.MEMBER_INPUT)
+    return marts.member_utilization(fact if period is None else period(fact, t.as_of), t.frames, t.cfg)
 
 
 def anomaly_mart(t):
-    return anomaly.claim_anomalies(t.fact(anomaly.MART_INPUT), t.cfg)
+    return anomaly.claim_anomalies(written(t.fact(anomaly.MART_INPUT), "anomaly-input"), t.cfg)
 
 
 @query("a01_provider_performance", PROVIDER_MART)
@@ -390,7 +391,7 @@ def _(t):
 
 @query("w04_denial_growth", GROWTH)
 def _(t):
-    return marts.denial_growth(denial_mart(t))
+    return marts.denial_growth(marts.quarterly_denials(t.fact([*marts.QUARTER_KEYS, "claim_status", "denied_amount"])))
 
 
 _X = "claim_id, claim_line_id, claim_line_key, claim_amount"
@@ -429,4 +430,4 @@ def _(t):
 
 @query("x05_combined", f"SELECT {_X}, anomaly_reasons, has_anomaly FROM ({DETECTED})")
 def _(t):
-    return anomaly.detect(t.fact(_X_INPUT), t.cfg).select(*_X.split(", "), "anomaly_reasons", "has_anomaly")
+    return anomaly.detect(written(t.fact(_X_INPUT), "anomaly-input"), t.cfg).select(*_X.split(", "), "anomaly_reasons", "has_anomaly")

@@ -7,6 +7,7 @@ from claimloom.operators.ranking import percentiles
 from claimloom.plans.gold import DETECTED
 from claimloom.plans.registry import query
 from claimloom.plans.sqltext import AS_OF, n_if, rate_avg, ratio, stddev, usd, usd_avg
+from claimloom.sources.scratch import written
 
 _D = "claim_status = 'DENIED'"
 _DENIAL = ratio(n_if(_D), "COUNT(*)")
@@ -186,12 +187,12 @@ def _anomaly_rate(key: str) -> str:
 
 @query("m11_anomaly_rate_provider", _anomaly_rate("provider_id"))
 def _(t):
-    return kpis.anomaly_rate(anomaly.detect(t.fact(_FLAG_INPUT), t.cfg), "provider_id")
+    return kpis.anomaly_rate(anomaly.detect(written(t.fact(_FLAG_INPUT), "anomaly-input"), t.cfg), "provider_id")
 
 
 @query("m11_anomaly_rate_member", _anomaly_rate("member_id"))
 def _(t):
-    return kpis.anomaly_rate(anomaly.detect(t.fact(_FLAG_INPUT), t.cfg), "member_id")
+    return kpis.anomaly_rate(anomaly.detect(written(t.fact(_FLAG_INPUT), "anomaly-input"), t.cfg), "member_id")
 
 
 @query(
@@ -288,11 +289,7 @@ _DIMENSIONS = ["provider_specialty_category", "provider_region", "member_state",
     ),
 )
 def _(t):
-    out = None
-    for name in _DIMENSIONS:
-        rows = kpis.denials_by(t.fact([name, "service_date", "claim_status", "denied_amount"]), name)
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    return kpis.denials_by(t.fact([*_DIMENSIONS, "service_date", "claim_status", "denied_amount"]), _DIMENSIONS)
 
 
 def _scatter(key: str) -> str:
@@ -355,9 +352,8 @@ def _mix(attribute: str) -> str:
 
 @query("m20_patient_mix", f"{_mix('member_age_group')} UNION ALL {_mix('member_state')}")
 def _(t):
-    by_age = kpis.patient_mix(t.fact(["provider_id", "member_id", "member_age_group"]), "member_age_group")
-    by_state = kpis.patient_mix(t.fact(["provider_id", "member_id", "member_state"]), "member_state")
-    return by_age.unionByName(by_state)
+    attributes = ["member_age_group", "member_state"]
+    return kpis.patient_mix(t.fact(["provider_id", "member_id", *attributes]), attributes)
 
 
 _AGES = ["Minor", "Adult 18-34", "Adult 35-49", "Adult 50-64", "Senior 65+"]

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from claimloom.config import Settings
 from claimloom.operators import audit, dimensions, quality
 from claimloom.operators import fact as fact_op
+from claimloom.operators.changes import CLAIM_KEYS, latest
 from claimloom.operators.star import Derived, Lookup, star
+from claimloom.sources.sizes import spread
 from claimloom.streaming import events as ev
 
 AS_OF = "2001-07-31"
@@ -140,13 +142,28 @@ class Tables:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     # -- claims ------------------------------------------------------------------------------
-    def claims(self, columns: Sequence[str] = CLAIM_COLUMNS) -> DataFrame:
-        """Claim lines with the given columns; tables that none of them comes from are not read."""
-        base = self.table("lineitem").select("l_orderkey", "l_partkey", *exprs(CLAIM))
+    def claims(self, columns: Sequence[str] = CLAIM_COLUMNS, *, unique: bool = False) -> DataFrame:
+        """Claim lines with the given columns; tables that none of them comes from are not read.
+
+        ``unique`` keeps one row per claim line, the later submission first. That happens on the
+        claim lines alone, so the lookups see fewer rows.
+        """
+        base = spread(self.table("lineitem"), "l_orderkey").select("l_orderkey", "l_partkey", *exprs(CLAIM))
+        if unique:
+            order = [F.col(c).desc() for c in ("submission_date", "procedure_code", "provider_id", "claim_amount")]
+            base = latest(base, CLAIM_KEYS, order)
         lookups = [
             Lookup("orders", "l_orderkey", "o_orderkey", {c: c for c in ORDER}, self._orders),
             Lookup("part", "l_partkey", "p_partkey", {"diagnosis_code": "p_type"}, lambda: self.table("part")),
-            Lookup("customer", "member_id", "c_custkey", {"payer_id": "r_name"}, self._customer_region),
+            Lookup("customer", "member_id", "c_custkey", {"nation_key": "c_nationkey"}, lambda: self.table("customer")),
+            Lookup(
+                "nation",
+                "nation_key",
+                "n_nationkey",
+                {"payer_id": "r_name"},
+                self._nations,
+                source=lambda: self.table("nation"),
+            ),
         ]
         reason = Derived(
             ("claim_status", "order_priority"),
@@ -157,20 +174,12 @@ class Tables:
     def _orders(self) -> DataFrame:
         return self.table("orders").select("o_orderkey", *exprs(ORDER))
 
-    def _customer_region(self) -> DataFrame:
-        nation = self.table("nation").join(
-            self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"), "left"
-        )
-        return self.table("customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    def _nations(self) -> DataFrame:
+        regions = self.table("region")
+        return self.table("nation").join(regions, F.col("n_regionkey") == F.col("r_regionkey"), "left")
 
     def unique_claims(self, columns: Sequence[str] = CLAIM_COLUMNS) -> DataFrame:
-        """One row per claim line, the later submission first."""
-        from claimloom.operators.changes import CLAIM_KEYS, latest
-
-        order = [F.col(c).desc() for c in ("submission_date", "procedure_code", "provider_id", "claim_amount")]
-        need = list(dict.fromkeys([*CLAIM_KEYS, "submission_date", "procedure_code", "provider_id", "claim_amount"]))
-        # The survivor is found on the claim lines alone; lookups follow on the rows that remain.
-        return latest(self.claims(list(dict.fromkeys([*need, *columns]))), CLAIM_KEYS, order).select(*columns)
+        return self.claims(columns, unique=True)
 
     # -- people and references -----------------------------------------------------------------
     def members(self) -> DataFrame:
@@ -229,7 +238,16 @@ class Tables:
         }
 
     def fact(self, columns: Sequence[str] = fact_op.COLUMNS) -> DataFrame:
-        return fact_op.fact_claims(self.claims, self.frames, self.cfg, columns)
+        return fact_op.fact_claims(self.claims, self.frames, self.cfg, columns, sources=self.sources)
+
+    @cached_property
+    def sources(self) -> dict:
+        """The table behind each dimension, which bounds its rows."""
+        return {
+            "member": lambda: self.table("customer"),
+            "provider": lambda: self.table("supplier"),
+            "payer": lambda: self.table("region"),
+        }
 
     # -- events ------------------------------------------------------------------------------------
     def events(self, raw: DataFrame | None = None) -> DataFrame:

@@ -274,7 +274,7 @@ _MONTH = "CAST(date_trunc('month', service_date) AS DATE)"
         COUNT(*) AS total_claims, {usd('claim_amount')} AS total_amount FROM m GROUP BY 1, 2""",
 )
 def _(t):
-    current = t.unique_claims(CURRENT)
+    current = scratch.written(t.unique_claims(CURRENT), "current")
     path = scratch.fresh(t.spark, "monthly")
 
     def monthly(claims):

@@ -25,6 +25,14 @@ def fresh(spark: SparkSession, label: str) -> str:
     return f"{root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once as a parquet table and read back. For a frame that several branches of a
+    query use: each branch then scans the columns it needs instead of repeating the joins."""
+    path = fresh(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder once and go on from the files."""
     spark = df.sparkSession
