@@ -198,10 +198,13 @@ def health(runs: DataFrame, quality: DataFrame, volume: DataFrame, integrity: Da
     unrest = x.ladder([(F.col("data_volatility") == "LOW", "0"), (F.col("data_volatility") == "MEDIUM", "0.5")],
                       F.lit("1")).cast("double")
     one = F.lit(1.0)
-    parts = _component("pipeline_health", runs, F.least(rate_avg("success_rate") / 100, one))
-    parts = parts.unionByName(
-        _component("data_quality_health", quality, F.least(rate_avg("avg_pass_rate") / 100, one))
-    )
+
+    def share(rate: str) -> Column:
+        mean = rate_avg(rate) / 100
+        return F.when(mean > 1, one).otherwise(mean)  # ``least`` would turn no data into 1
+
+    parts = _component("pipeline_health", runs, share("success_rate"))
+    parts = parts.unionByName(_component("data_quality_health", quality, share("avg_pass_rate")))
     parts = parts.unionByName(_component("volume_stability_health", volume, one - rate_avg(unrest)))
     passed = ratio(F.count_if(F.col("validation_status") == "PASS"), F.count("*"))
     parts = parts.unionByName(_component("gold_integrity_health", integrity, passed))
