@@ -163,7 +163,7 @@ def provider_rankings(totals: DataFrame, improvement: DataFrame, n: int = 10) ->
         first = rows.orderBy(*order).limit(n)
         placed = first.select(
             F.lit(name).alias("ranking"),
-            F.row_number().over(Window.orderBy(*order)).alias("place"),
+            F.row_number().over(Window.orderBy(*order)).cast("long").alias("place"),
             "provider_id",
             "value",
         )
@@ -268,7 +268,8 @@ def top_per_group(df: DataFrame, group: str, item: str, k: int = 3) -> DataFrame
     counted = df.groupBy(group, item).agg(F.count("*").alias("claim_count"))
     order = [F.col("claim_count").desc(), F.col(item).asc()]
     rank = F.row_number().over(Window.partitionBy(group).orderBy(*order))
-    return counted.withColumn("place", rank).filter(F.col("place") <= k)
+    placed = counted.withColumn("place", rank).filter(F.col("place") <= k)
+    return placed.withColumn("place", F.col("place").cast("long"))
 
 
 def _long_form(dimensions: Sequence[str]) -> tuple[Column, Column]:

@@ -143,7 +143,7 @@ def _(t):
 
 @query(
     "s09_reference_duplicates",
-    """SELECT 'diagnosis_ref' AS table_name, COUNT(*) AS total_rows, 0 AS null_diagnosis_code,
+    """SELECT 'diagnosis_ref' AS table_name, COUNT(*) AS total_rows, CAST(0 AS BIGINT) AS null_diagnosis_code,
         COUNT(*) - COUNT(DISTINCT p_type) AS duplicate_keys FROM part""",
 )
 def _(t):

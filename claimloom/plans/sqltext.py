@@ -91,7 +91,7 @@ VIEWS = {
     "members": f"SELECT {cols(m.MEMBER)} FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey",
     "providers": f"SELECT {cols(m.PROVIDER)} FROM supplier",
     "dim_member": f"""SELECT {key('member_id', 'eligibility_start_date')} AS member_sk, *,
-        member_first_name || ' ' || member_last_name AS member_full_name, {AGE} AS member_age,
+        member_first_name || ' ' || member_last_name AS member_full_name, CAST({AGE} AS INTEGER) AS member_age,
         {age_group(AGE)} AS member_age_group,
         (eligibility_start_date <= {AS_OF} AND (eligibility_end_date IS NULL OR eligibility_end_date >= {AS_OF}))
             AS is_eligible,
