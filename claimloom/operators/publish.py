@@ -8,8 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimloom.functions.exact import ratio
-
 # Column order of the staged fact and of the conformed dimensions.
 STAGING_COLUMNS = tuple(
     """claim_line_key claim_id claim_line_id member_sk provider_sk diagnosis_sk procedure_sk payer_sk
@@ -95,7 +93,3 @@ def entitled(df: DataFrame, entitlements: DataFrame, user: str, on: str) -> Data
     """Rows whose ``on`` value the user is entitled to."""
     mine = entitlements.filter(F.col("user_name") == user).select(F.col("value").alias(on))
     return df.join(mine, on, "left_semi")
-
-
-def share(df: DataFrame, name: str, condition: Column) -> DataFrame:
-    return df.agg(ratio(F.count_if(condition), F.count("*")).alias(name))

@@ -6,7 +6,8 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimloom.config import REQUIRED, Settings
@@ -241,12 +242,15 @@ def integrity(fact: DataFrame, members: DataFrame, providers: DataFrame) -> Data
     return rows.withColumn("validation_status", _verdict(F.col("faults")))
 
 
-def integrity_row(table: str, build: Callable[[], DataFrame]) -> DataFrame | str:
-    """``build()`` or, when the table cannot be read, the error text for an ERROR row."""
+def integrity_or_error(spark: SparkSession, table: str, read: Callable[[], DataFrame]) -> DataFrame:
+    """``read()``, or an ERROR row when the table cannot be read: its absence is the finding."""
     try:
-        return build()
-    except Exception as error:  # the table's absence is the finding
-        return f"{table}: {type(error).__name__}"
+        return read()
+    except AnalysisException:
+        return spark.createDataFrame(
+            [(table, None, None, "ERROR")],
+            "table_name string, total_records long, faults long, validation_status string",
+        )
 
 
 def offending(df: DataFrame, condition: Column, name: str, keys: Sequence[str]) -> DataFrame:
@@ -272,7 +276,3 @@ def grade(pass_rate: Column) -> Column:
         [(pass_rate >= 98, "A"), (pass_rate >= 95, "B"), (pass_rate >= 90, "C"), (pass_rate >= 80, "D")],
         F.lit("F"),
     )
-
-
-def within(column: str, as_of: Column, interval: str) -> Column:
-    return F.col(column) >= as_of - F.expr(f"INTERVAL {interval}")

@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from claimloom.operators import dashboards as d
 from claimloom.operators import marts
-from claimloom.plans.checks import since
 from claimloom.plans.gold import (
     ANOMALY_MART,
     MEMBER_MART,

@@ -2,9 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from claimloom.operators import anomaly, dashboards, marts
-from claimloom.operators.dimensions import month_dim
-from claimloom.operators.fact import COLUMNS
+from claimloom.operators import anomaly, marts
 from claimloom.plans.model import SETTINGS as C
 from claimloom.plans.registry import query
 from claimloom.plans.sqltext import n_if, pct, rate_avg, ratio, usd, usd_avg

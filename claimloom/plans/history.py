@@ -4,9 +4,8 @@ from pyspark.sql import functions as F
 
 from claimloom.operators import changes, dimensions
 from claimloom.functions import fields as x
-from claimloom.plans.model import DATE_END, DATE_START
 from claimloom.plans.registry import query
-from claimloom.plans.sqltext import AS_OF, CATEGORY, OPEN_END, PROVIDER_HASH, REGION, SEASON, key, n_if
+from claimloom.plans.sqltext import AS_OF, OPEN_END, PROVIDER_HASH, SEASON, key, n_if
 
 KEYS = list(changes.CLAIM_KEYS)
 CURRENT = "claim_id claim_line_id claim_amount claim_status service_date submission_date denial_reason".split()

@@ -3,9 +3,9 @@
 from pyspark.sql import functions as F
 
 from claimloom import schemas
-from claimloom.operators import dimensions, marts, publish, quality
+from claimloom.operators import dimensions, publish, quality
 from claimloom.plans.registry import query
-from claimloom.plans.sqltext import AGE, AS_OF, PROVIDER_HASH, n_if, usd
+from claimloom.plans.sqltext import AGE, AS_OF, n_if
 from claimloom.functions import fields as x
 from claimloom.plans import model
 from claimloom.sources import files, scratch, tables

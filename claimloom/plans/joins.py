@@ -7,9 +7,8 @@ from claimloom.operators.anomaly import flag_members
 from claimloom.operators.changes import CLAIM_KEYS, latest_events
 from claimloom.operators.dimensions import month_dim
 from claimloom.plans.history import LATEST
-from claimloom.plans.model import SETTINGS
 from claimloom.plans.registry import query
-from claimloom.plans.sqltext import AS_OF, n_if, ratio, usd, usd_avg
+from claimloom.plans.sqltext import usd
 
 _CLAIM = "claim_id, claim_line_id, diagnosis_code, procedure_code, payer_id, claim_amount"
 

@@ -1,8 +1,7 @@
 """Queries M: KPI formulas."""
 
-from pyspark.sql import functions as F
 
-from claimloom.operators import anomaly, dashboards, kpis
+from claimloom.operators import anomaly, kpis
 from claimloom.operators.ranking import percentiles
 from claimloom.plans.gold import DETECTED
 from claimloom.plans.registry import query

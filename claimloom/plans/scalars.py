@@ -4,11 +4,11 @@ from pyspark.sql import functions as F
 
 from claimloom.functions import fields as x
 from claimloom.functions.exact import ratio as spark_ratio
-from claimloom.operators import changes, fact, marts, publish, quality
+from claimloom.operators import publish
 from claimloom.operators.dashboards import recent
 from claimloom.plans.model import SETTINGS
 from claimloom.plans.registry import query
-from claimloom.plans.sqltext import AGE, AS_OF, CATEGORY, REGION, SEASON, age_group, key, n_if, ratio, usd
+from claimloom.plans.sqltext import AGE, AS_OF, CATEGORY, REGION, SEASON, age_group, n_if, ratio, usd
 from claimloom.streaming import events as ev
 
 

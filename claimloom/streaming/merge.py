@@ -106,8 +106,3 @@ def fold(base: DataFrame, events: DataFrame) -> DataFrame:
         }
     )
     return folded.select(*rows.columns)
-
-
-def refresh_months(mart_of, months: list, path: str, partition_by: tuple[str, ...]) -> None:
-    """Rebuild a mart for the given month starts only and replace those partitions."""
-    tables.overwrite_partitions(mart_of(F.col("service_month_start").isin(months)), path, list(partition_by))

@@ -83,3 +83,9 @@ def test_integrity_verdicts(spark):
     twice = spark.createDataFrame([("P1", True), ("P1", True)], "provider_id string, is_current boolean")
     rows = quality.integrity(fact, members, twice).filter("table_name = 'dim_provider'").first()
     assert rows.validation_status == "FAIL"
+
+
+def test_a_missing_table_gives_an_error_row(spark, tmp_path):
+    gone = str(tmp_path / "gone")
+    row = quality.integrity_or_error(spark, "fact_claims", lambda: spark.read.parquet(gone)).first()
+    assert (row.table_name, row.validation_status) == ("fact_claims", "ERROR")

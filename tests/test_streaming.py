@@ -1,5 +1,6 @@
 import json
 import os
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -9,7 +10,7 @@ from claimloom import schemas
 from claimloom.config import Settings
 from claimloom.operators.changes import merge_status
 from claimloom.streaming import events as ev
-from claimloom.streaming import merge, runner
+from claimloom.streaming import merge, monitor, runner
 
 CFG = Settings()
 NOON = datetime(2026, 3, 20, 12)
@@ -106,3 +107,19 @@ def test_store_equals_one_batch(spark, tmp_path, order, replaced):
     assert store.current(spark).select(*got.columns).exceptAll(expected).count() == 0
     store.compact(spark, 1)
     assert store.current(spark).select(*got.columns).exceptAll(expected).count() == 0
+
+
+def test_progress_is_appended(spark, tmp_path):
+    folder, path = tmp_path / "in", str(tmp_path / "progress")
+    drop(folder, 1, message(1), message(2))
+    source = stream(spark, folder)
+    listener = monitor.ProgressWriter(spark, path)
+    source.sparkSession.streams.addListener(listener)
+    try:
+        runner.run_sink(source, "listened")
+        deadline = time.time() + 60
+        while not os.path.exists(f"{path}/_SUCCESS") and time.time() < deadline:
+            time.sleep(0.5)
+    finally:
+        source.sparkSession.streams.removeListener(listener)
+    assert spark.read.schema(monitor.PROGRESS).parquet(path).agg(F.sum("input_rows")).first()[0] == 2
