@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimloom.llm import substring_dedup
+from claimloom.llm import minhash_dedup, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,11 @@ def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.repeats(_table(spark, folder, "documents"), width=35)
 
 
+def op9_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = minhash_dedup.groups(_table(spark, folder, "documents"), percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def queries() -> dict[str, Query]:
     found = {name: f for name, f in globals().items() if name.startswith("op")}
     return found
