@@ -268,10 +268,8 @@ def _find(docs: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
     )
     same = (F.col("digest") == F.col("_digest")) & F.col("doc_id").eqNullSafe(F.col("_id"))
     chosen = texts.join(needed, same).select("digest", "text", "copies", "number", "full", "half")
-    chosen = chosen.withColumn("place", F.monotonically_increasing_id())
+    # Equal rows (id and text) all come along. They are copies, so their windows are repeated anyway.
     chosen = scratch.written(chosen, "texts")
-    # Equal rows (id and text) have come along; one of each is enough.
-    chosen = chosen.join(chosen.groupBy("number").agg(F.min("place").alias("place")), ["number", "place"], "left_semi")
 
     windows = chosen.filter("size(half) > 0").select("number", "text", "half").mapInArrow(
         _windows(width), "number long, window array<long>, symbol array<long>, times array<long>"
