@@ -27,12 +27,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimloom.llm import shared
-from claimloom.sources.sizes import estimated_bytes
 
 #: Bytes of text in a block; a longer text is a block by itself.
 BLOCK = 8 << 20
-#: Bytes of stored input to one bucket of the block table.
-BUCKET_BYTES = 16 << 20
 _BLOCK_KIND = "block long, {key} array<{kind}>, n_bytes array<long>, n_direct array<long>, sizes array<long>, numbers binary, words array<binary>"
 
 
@@ -116,10 +113,9 @@ def blocks(docs: DataFrame, key: str, pattern: str, whole: frozenset[str] = froz
     texts = docs.select(F.col(key), F.coalesce("text", F.lit("")).alias("text"))
     kind = docs.schema[key].dataType.simpleString()
     found = texts.mapInArrow(_split(key, pattern, whole, special), _BLOCK_KIND.format(key=key, kind=kind))
-    # As many buckets as the input has splits' worth of bytes, four times: a bucket holds a few blocks.
-    buckets = max(4, min(100_000, 4 * -(-estimated_bytes(docs) // BUCKET_BYTES)))
+    buckets = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))  # the session's measure of the data
     name = f"blocks_{uuid.uuid4().hex[:16]}"
-    found.write.bucketBy(int(buckets), "block").format("parquet").option("compression", "uncompressed").saveAsTable(name)
+    found.write.bucketBy(buckets, "block").format("parquet").option("compression", "uncompressed").saveAsTable(name)
     return Blocks(spark, name, key, kind)
 
 

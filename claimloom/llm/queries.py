@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimloom.llm import minhash_dedup, substring_dedup
+from claimloom.llm import byte_bpe, minhash_dedup, substring_dedup, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,21 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    encoded = byte_bpe.encode(_table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
+    return byte_bpe.digests(byte_bpe.decode(encoded, ranks))
+
+
+def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = token_counts.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+    return token_counts.counts(_table(spark, folder, "documents"), vocabulary, public_tokenizers.PATTERN)
+
+
 def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.repeats(_table(spark, folder, "documents"), width=35)
 
