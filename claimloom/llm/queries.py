@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import byte_bpe, chat_format, minhash_dedup, substring_dedup, token_counts, topk_search, url_filter, warc
+from claimloom.llm import byte_bpe, chat_format, decontaminate, minhash_dedup, substring_dedup, token_counts, topk_search, toxicity, url_filter, warc
 
 #: Fixed values of the url query.
 URL_RULES = [
@@ -91,6 +92,16 @@ def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(_table(spark, folder, "pages"), URL_RULES, weights)
 
 
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    found = toxicity.scored(docs, toxicity.fit(docs, _table(spark, folder, "labels"))).withColumnRenamed("_score", "score")
+    return found.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.repeats(_table(spark, folder, "documents"), width=35)
 
@@ -161,7 +172,7 @@ def _escaped_sql() -> str:
 
 
 def queries() -> dict[str, Query]:
-    return {name: f for name, f in globals().items() if name.startswith("op")}
+    return {name: f for name, f in globals().items() if name.startswith("op")} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:

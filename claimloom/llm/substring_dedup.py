@@ -305,10 +305,13 @@ def repeats(docs: DataFrame, width: int = 35) -> DataFrame:
 
 def without_repeats(docs: DataFrame, width: int = 35) -> DataFrame:
     """``docs`` with the same columns and rows; a text that loses words becomes the rest, joined by one
-    space, all other texts stay as they are."""
+    space, all other texts stay as they are. A column n_chars follows the text."""
     columns = docs.columns
     _, changed = _find(docs.select("doc_id", "text"), width)
     changed = changed.select(F.col("digest").alias("_digest"), F.col("kept").alias("_kept"))
     keyed = docs.withColumn("_digest", F.md5(F.coalesce("text", F.lit(""))))
     joined = keyed.join(changed, "_digest", "left").withColumn("text", F.coalesce("_kept", "text"))
+    if "n_chars" in columns:
+        size = F.length("_kept").cast(docs.schema["n_chars"].dataType)
+        joined = joined.withColumn("n_chars", F.when(F.col("_kept").isNotNull(), size).otherwise(F.col("n_chars")))
     return joined.select(*columns)
