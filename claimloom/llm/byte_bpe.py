@@ -46,12 +46,12 @@ def _assembled(key: str):
                 values, starts, sizes = pretokens.block_values(row)
                 order = pretokens.unpack(row["numbers"])
                 ends = np.append(0, np.cumsum(row["sizes"])).astype(np.int64)
-                lengths = np.append(0, np.cumsum(sizes[order]))[ends] * 4
-                ids = pretokens.gather(values, starts, sizes, order).astype("<u4").tobytes()
-                yield pa.record_batch(
-                    [pa.array(row[key]), pa.array([ids[a:b] for a, b in zip(lengths[:-1], lengths[1:], strict=True)], pa.binary())],
-                    names=[key, "ids"],
-                )
+                for first, end in pretokens.stretches(ends):
+                    part = order[ends[first] : ends[end]]
+                    lengths = np.append(0, np.cumsum(sizes[part]))[ends[first : end + 1] - ends[first]] * 4
+                    ids = pretokens.gather(values, starts, sizes, part).astype("<u4").tobytes()
+                    texts = [ids[a:b] for a, b in zip(lengths[:-1], lengths[1:], strict=True)]
+                    yield pa.record_batch([pa.array(row[key][first:end]), pa.array(texts, pa.binary())], names=[key, "ids"])
 
     return run
 

@@ -29,7 +29,9 @@ from pyspark.sql import functions as F
 from claimloom.llm import shared
 
 #: Bytes of text in a block; a longer text is a block by itself.
-BLOCK = 8 << 20
+BLOCK = 32 << 20
+#: Words that are put together at once when a block is read.
+STRETCH = 1 << 18
 _BLOCK_KIND = "block long, {key} array<{kind}>, n_bytes array<long>, n_direct array<long>, sizes array<long>, numbers binary, words array<binary>"
 
 
@@ -115,7 +117,7 @@ def blocks(docs: DataFrame, key: str, pattern: str, whole: frozenset[str] = froz
     found = texts.mapInArrow(_split(key, pattern, whole, special), _BLOCK_KIND.format(key=key, kind=kind))
     buckets = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))  # the session's measure of the data
     name = f"blocks_{uuid.uuid4().hex[:16]}"
-    found.write.bucketBy(buckets, "block").format("parquet").option("compression", "uncompressed").saveAsTable(name)
+    found.write.bucketBy(buckets, "block").format("parquet").option("compression", "zstd").saveAsTable(name)
     return Blocks(spark, name, key, kind)
 
 
@@ -170,6 +172,16 @@ def with_values(split: Blocks, make: Callable[[], Callable[[bytes], list[int]]])
     return table.drop("words").join(found.hint("merge"), "block", "left")
 
 
+def stretches(ends: np.ndarray):
+    """Consecutive texts (first, end) with about ``STRETCH`` words together, one text at least; ``ends``: words before each
+    text and after the last one."""
+    at = 0
+    while at < len(ends) - 1:
+        end = max(at + 1, int(np.searchsorted(ends, ends[at] + STRETCH, "right")) - 1)
+        yield at, end
+        at = end
+
+
 def block_values(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of a row of ``with_values``: all values, and by word number where they start and how many there are."""
     found = row["found"] or []
