@@ -38,15 +38,20 @@ def matches(c: Column, pattern: str) -> Column:
     return F.coalesce(c.cast("string").rlike(pattern), F.lit(True))
 
 
+def _part(c: Column) -> Column:
+    """A text whose separators are escaped, so that joined parts cannot be confused."""
+    return F.replace(F.replace(c.cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|"))
+
+
 def record_hash(columns: Sequence[Column]) -> Column:
     """md5 over all columns; nulls keep their place."""
-    parts = [F.coalesce(c.cast("string"), F.lit(NULL_MARK)) for c in columns]
+    parts = [F.coalesce(_part(c), F.lit(NULL_MARK)) for c in columns]
     return F.md5(F.concat_ws("|", *parts))
 
 
 def surrogate_key(*parts: Column) -> Column:
     """Stable 64-bit key of the business key: the first half of its md5, signed."""
-    digest = F.md5(F.concat_ws("|", *[p.cast("string") for p in parts]))
+    digest = F.md5(F.concat_ws("|", *[_part(p) for p in parts]))
     key = F.conv(F.substring(digest, 1, 16), 16, -10).cast("long")
     return F.when(reduce(lambda a, b: a & b, [p.isNotNull() for p in parts]), key)
 

@@ -39,7 +39,7 @@ def recorded(
     try:
         yield run
     except Exception as problem:
-        error = f"{type(problem).__name__}: {problem}"[:2000]
+        error = f"{type(problem).__name__}: {problem}"
         raise
     finally:
         row = (

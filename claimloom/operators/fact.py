@@ -84,13 +84,7 @@ def lookups(frames: Frames, sources: Frames | None = None) -> list[Lookup]:
             "service_day",
             "service_date",
             "date",
-            {
-                "service_date_key": "date_key",
-                "service_year": "year",
-                "service_quarter": "quarter",
-                "service_month": "month",
-                "service_season": "season",
-            },
+            {"service_date_key": "date_key"},
             date_frame,
             bounded=True,
         ),
@@ -98,7 +92,7 @@ def lookups(frames: Frames, sources: Frames | None = None) -> list[Lookup]:
             "submission_day",
             "submission_date",
             "date",
-            {"submission_date_key": "date_key", "submission_year": "year", "submission_quarter": "quarter"},
+            {"submission_date_key": "date_key"},
             date_frame,
             bounded=True,
         ),
@@ -117,10 +111,20 @@ def _status_columns(status: str) -> dict[str, Derived]:
     }
 
 
+def calendar() -> dict[str, Derived]:
+    """Parts of the dates themselves: a claim outside the date dimension has them too."""
+    parts = {"year": F.year, "quarter": F.quarter, "month": F.month, "season": lambda c: x.season(F.month(c))}
+    out = {f"service_{name}": Derived(("service_date",), lambda of=of: of("service_date")) for name, of in parts.items()}
+    for name in ("year", "quarter"):
+        out[f"submission_{name}"] = Derived(("submission_date",), lambda of=parts[name]: of("submission_date"))
+    return out
+
+
 def measures(cfg: Settings) -> dict[str, Derived]:
     out: dict[str, Derived] = {}
     for status in cfg.statuses:
         out.update(_status_columns(status))
+    out.update(calendar())
     out["claim_line_key"] = Derived(
         ("claim_id", "claim_line_id"), lambda: F.concat("claim_id", F.lit("_"), "claim_line_id")
     )

@@ -123,25 +123,26 @@ def same_period_growth(monthly: DataFrame) -> DataFrame:
 
 
 def dense_provider_rank(totals: DataFrame) -> DataFrame:
+    """A provider without an amount has no rank."""
     totals = cut(totals)
-    ranked = value_ranks(totals, "total_amount", descending=True).select(
+    ranked = value_ranks(totals.filter("total_amount IS NOT NULL"), "total_amount", descending=True).select(
         F.col("total_amount").alias("__amount"), F.col("dense_rank").alias("provider_rank")
     )
-    return totals.join(ranked, F.col("total_amount") == F.col("__amount")).select(
+    return totals.join(ranked, F.col("total_amount") == F.col("__amount"), "left").select(
         "provider_id", "total_amount", "provider_rank"
     )
 
 
 def provider_percentile(totals: DataFrame) -> DataFrame:
-    """(ascending dense rank − 1) / number of providers."""
+    """(ascending dense rank − 1) / number of providers with an amount; null without one."""
     totals = cut(totals)
-    ranked = value_ranks(totals, "total_amount", descending=False)
+    ranked = value_ranks(totals.filter("total_amount IS NOT NULL"), "total_amount", descending=False)
     count = ranked.agg(F.sum("ties")).first()[0] or 0  # one number, read from the written ranks
     levels = ranked.select(
         F.col("total_amount").alias("__amount"),
         ratio(F.col("dense_rank") - 1, F.lit(count)).alias("provider_percentile"),
     )
-    return totals.join(levels, F.col("total_amount") == F.col("__amount")).select(
+    return totals.join(levels, F.col("total_amount") == F.col("__amount"), "left").select(
         "provider_id", "total_amount", "provider_percentile"
     )
 

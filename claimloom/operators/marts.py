@@ -11,7 +11,7 @@ from claimloom.config import OTHER, Settings
 from claimloom.functions import fields as x
 from claimloom.functions.exact import count_stddev, money_avg, money_sum, rate_avg, ratio
 from claimloom.operators.dashboards import denial_pct
-from claimloom.operators.fact import Frames, lookups
+from claimloom.operators.fact import Frames, calendar, lookups
 from claimloom.operators.ranking import with_row_number, with_row_numbers
 from claimloom.operators.star import star
 
@@ -96,7 +96,7 @@ def _widened(totals: DataFrame, frames: Frames, keys: Sequence[str]) -> DataFram
     """Grouped rows with the dimension columns of ``keys``. The month start takes the place of the
     service date, so the date range must begin on the first of a month."""
     measures = [c for c in totals.columns if c not in keys and c != "service_date"]
-    return star(totals, lookups(frames), {}, [*keys, *measures])
+    return star(totals, lookups(frames), calendar(), [*keys, *measures])
 
 
 def denial_trends(fact: DataFrame) -> DataFrame:

@@ -14,49 +14,33 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimloom.sources.scratch import cut
+from claimloom.sources.scratch import written
 
-TASK_ROWS = 1_000_000
 _GROUP = "__group"
 _SLICE = "__slice"
 _BEFORE = "__before"
 _LOCAL = "__local"
 
 
-def with_row_numbers(
-    df: DataFrame, ranks: Mapping[str, Sequence[str]], order: Sequence[Column], task_rows: int = TASK_ROWS
-) -> DataFrame:
-    """``row_number`` per group for each name in ``ranks``. ``order`` must end in a unique column.
-
-    The input is written once and counted. Up to ``task_rows`` rows in all no group can be too large
-    for a task, and plain windows do; beyond that the slices do.
-    """
-    rows = cut(df)
-    if rows.count() <= task_rows:
-        return rows.withColumns(
-            {
-                name: F.row_number().over(Window.partitionBy(*(by or [F.lit(0)])).orderBy(*order)).cast("long")
-                for name, by in ranks.items()
-            }
-        )
+def with_row_numbers(df: DataFrame, ranks: Mapping[str, Sequence[str]], order: Sequence[Column]) -> DataFrame:
+    """``row_number`` per group for each name in ``ranks``. ``order`` must end in a unique column."""
+    rows = df
     for name, by in ranks.items():
         rows = _sliced(rows, name, by, order)
     return rows
 
 
-def with_row_number(
-    df: DataFrame, name: str, by: Sequence[str], order: Sequence[Column], task_rows: int = TASK_ROWS
-) -> DataFrame:
-    return with_row_numbers(df, {name: by}, order, task_rows)
+def with_row_number(df: DataFrame, name: str, by: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    return with_row_numbers(df, {name: by}, order)
 
 
 def _sliced(df: DataFrame, name: str, by: Sequence[str], order: Sequence[Column]) -> DataFrame:
     # A struct compares null keys as equal, so groups with null keys need no special join.
     group = F.struct(*[F.col(c) for c in by]) if by else F.lit(0)
     ordered = df.withColumn(_GROUP, group).orderBy(F.col(_GROUP), *order)
-    # The slice number is a partition index of the written, sorted copy: reading it again after a
-    # lost executor gives the same slices.
-    placed = cut(ordered).withColumn(_SLICE, F.spark_partition_id())
+    # The slice number is written with the sorted copy: reading it again after a lost executor gives the
+    # same slices, and the counts read two columns only.
+    placed = written(ordered.withColumn(_SLICE, F.spark_partition_id()), "sorted")
     counts = placed.groupBy(_GROUP, _SLICE).agg(F.count("*").alias("__n"))
     earlier = Window.partitionBy(_GROUP).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(_GROUP, _SLICE, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias(_BEFORE))
@@ -69,13 +53,13 @@ def _sliced(df: DataFrame, name: str, by: Sequence[str], order: Sequence[Column]
     )
 
 
-def value_ranks(df: DataFrame, value: str, *, descending: bool, task_rows: int = TASK_ROWS) -> DataFrame:
+def value_ranks(df: DataFrame, value: str, *, descending: bool) -> DataFrame:
     """One row per distinct ``value`` over the whole table: ``dense_rank``, ``rank`` and how many
     rows hold the value. Ties are folded before the sort, so a value that a third of all rows share
     is one row here."""
     folded = df.groupBy(value).agg(F.count("*").alias("ties"))
     order = F.col(value).desc() if descending else F.col(value).asc()
-    placed = with_row_number(folded, "dense_rank", [], [order], task_rows)
+    placed = with_row_number(folded, "dense_rank", [], [order])
     return _with_running_total(placed, "dense_rank", "ties")
 
 
@@ -97,11 +81,11 @@ def _with_running_total(placed: DataFrame, position: str, amount: str, width: in
     )
 
 
-def percentiles(df: DataFrame, value: str, points: Sequence[float], task_rows: int = TASK_ROWS) -> DataFrame:
+def percentiles(df: DataFrame, value: str, points: Sequence[float]) -> DataFrame:
     """Exact interpolated percentiles of a whole column, one row per point. Works from ranks of the
     distinct values instead of gathering the column in one aggregation buffer."""
     present = df.filter(F.col(value).isNotNull())
-    ranked = value_ranks(present, value, descending=False, task_rows=task_rows)
+    ranked = value_ranks(present, value, descending=False)
     total = ranked.agg(F.sum("ties")).first()[0] or 0  # one number
     hits = []
     for point in points:

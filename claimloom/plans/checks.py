@@ -1,5 +1,8 @@
 """Queries Q: data quality."""
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import functions as F
 
 from claimloom.config import REQUIRED
@@ -180,14 +183,21 @@ def _(t):
     "q10_assertion_rows",
     """SELECT 'amount_above_100k' AS assertion, claim_id, claim_line_id FROM claims WHERE claim_amount > 100000
         UNION ALL SELECT 'null_denial_reason', claim_id, claim_line_id FROM claims
-        WHERE claim_status = 'DENIED' AND denial_reason IS NULL""",
+        WHERE claim_status = 'DENIED' AND denial_reason IS NULL
+        UNION ALL SELECT 'missing_key_field', claim_id, claim_line_id FROM claims
+        WHERE claim_id IS NULL OR claim_line_id IS NULL OR member_id IS NULL OR provider_id IS NULL
+        UNION ALL SELECT 'negative_amount', claim_id, claim_line_id FROM claims WHERE NOT coalesce(claim_amount >= 0, FALSE)""",
 )
 def _(t):
-    claims = t.claims("claim_id claim_line_id claim_amount claim_status denial_reason".split())
+    claims = t.claims("claim_id claim_line_id member_id provider_id claim_amount claim_status denial_reason".split())
     keys = ["claim_id", "claim_line_id"]
+    absent = reduce(or_, [F.col(c).isNull() for c in ("claim_id", "claim_line_id", "member_id", "provider_id")])
+    negative = ~F.coalesce(F.col("claim_amount") >= 0, F.lit(False))
     high = quality.offending(claims, F.col("claim_amount") > 100_000, "amount_above_100k", keys)
     unexplained = (F.col("claim_status") == "DENIED") & F.col("denial_reason").isNull()
-    return high.unionByName(quality.offending(claims, unexplained, "null_denial_reason", keys))
+    found = high.unionByName(quality.offending(claims, unexplained, "null_denial_reason", keys))
+    found = found.unionByName(quality.offending(claims, absent, "missing_key_field", keys))
+    return found.unionByName(quality.offending(claims, negative, "negative_amount", keys))
 
 
 @query(
@@ -201,11 +211,10 @@ def _(t):
 @query(
     "q11_referential_integrity",
     """SELECT member_id AS missing_key, COUNT(*) AS row_count FROM claims WHERE member_id NOT IN
-        (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING') GROUP BY member_id""",
+        (SELECT c_custkey FROM customer) GROUP BY member_id""",
 )
 def _(t):
-    known = t.members().filter("plan_id <> 'BUILDING'")
-    return quality.missing_in(t.claims(["member_id"]), known, "member_id", "member_id")
+    return quality.missing_in(t.claims(["member_id"]), t.members(), "member_id", "member_id")
 
 
 _SINCE = "run_timestamp >= {t} - INTERVAL {i} AND run_timestamp <= {t}"

@@ -260,12 +260,12 @@ def _(t):
 
 @query(
     "m15_top_diagnoses",
-    """SELECT member_state, procedure_code, claim_count, place FROM (SELECT member_state, procedure_code,
-        COUNT(*) AS claim_count, row_number() OVER (PARTITION BY member_state ORDER BY COUNT(*) DESC, procedure_code)
+    """SELECT member_state, diagnosis_code, claim_count, place FROM (SELECT member_state, diagnosis_code,
+        COUNT(*) AS claim_count, row_number() OVER (PARTITION BY member_state ORDER BY COUNT(*) DESC, diagnosis_code)
         AS place FROM fact GROUP BY 1, 2) WHERE place <= 3""",
 )
 def _(t):
-    return kpis.top_per_group(t.fact(["member_state", "procedure_code"]), "member_state", "procedure_code")
+    return kpis.top_per_group(t.fact(["member_state", "diagnosis_code"]), "member_state", "diagnosis_code")
 
 
 @query("m15_diagnosis_frequency", "SELECT diagnosis_code, COUNT(*) AS row_count FROM claims GROUP BY 1")

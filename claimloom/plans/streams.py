@@ -21,16 +21,17 @@ def stream(t: Tables):
     return t.events(raw)
 
 
-def landed(t: Tables, files_wanted: int = 4, files_per_trigger: int = 1):
-    """The given events as JSON files, a file per micro-batch."""
-    path = scratch.fresh(t.spark, "event-files")
+def _land(t: Tables, events, path: str) -> None:
     stamp = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
-    lines = t.events().withColumns(
-        {c: F.date_format(c, stamp) for c in ("event_timestamp", "arrival")}
-    )
-    lines.repartitionByRange(files_wanted, "event_timestamp").write.json(path)
-    session = runner.stream_session(t.spark)
-    return ev.read_stream(session, path, t.events().schema, files_per_trigger=files_per_trigger)
+    lines = events.withColumns({c: F.date_format(c, stamp) for c in ("event_timestamp", "arrival")})
+    lines.write.mode("append").json(path)
+
+
+def landed(t: Tables, files_per_trigger: int = 1):
+    """The given events as JSON files, as many as the scan has tasks; a file per micro-batch."""
+    path = scratch.fresh(t.spark, "event-files")
+    _land(t, t.events(), path)
+    return ev.read_stream(runner.stream_session(t.spark), path, t.events().schema, files_per_trigger=files_per_trigger)
 
 
 def drained(t: Tables, df, label: str, partition_by=()):
@@ -158,33 +159,64 @@ def _(t):
     return tables_read[0].unionByName(tables_read[1])
 
 
+STEPS = 4
 CURRENT = "claim_id claim_line_id claim_amount claim_status service_date submission_date denial_reason".split()
 
 
-def status_store(t: Tables) -> merge.StatusStore:
+def status_store(t: Tables) -> merge.StatusTable:
     """Status table after the stream, applied by micro-batch."""
-    store = merge.StatusStore(scratch.fresh(t.spark, "status"), buckets=8)
-    store.create(t.unique_claims(CURRENT))
-    events = valid(t, landed(t)).select(*EVENT)
-    runner.run_batches(events, store.apply, f"{store.path}/checkpoint")
+    store = merge.StatusTable(scratch.fresh(t.spark, "status"), "service_month")
+    store.create(t.unique_claims(CURRENT).withColumn("service_month", F.trunc("service_date", "MM")))
+    first, last = t.events().agg(F.min("event_timestamp"), F.max("event_timestamp")).first()
+    path = scratch.fresh(t.spark, "event-files")
+    for k in range(STEPS if first else 0):  # files come in by time, a micro-batch each time
+        a, b = (first + (last - first) * x / STEPS for x in (k, k + 1))
+        at = F.col("event_timestamp")
+        later = at <= F.lit(b) if k == STEPS - 1 else at < F.lit(b)
+        _land(t, t.events().filter((at >= F.lit(a)) & later), path)
+        events = ev.read_stream(runner.stream_session(t.spark), path, t.events().schema)
+        runner.run_batches(valid(t, events).select(*EVENT), store.apply, f"{store.path}/checkpoint")
     return store
 
 
-_STATE = f"""SELECT c.claim_id, c.claim_line_id, claim_amount, coalesce(l.new_status, claim_status) AS claim_status
-    FROM unique_claims c LEFT JOIN ({LATEST}) l ON l.claim_id = c.claim_id AND l.claim_line_id = c.claim_line_id"""
+# Events of known claims in order; one applies where it changes the status that the event before left.
+_APPLIED = """WITH e AS (SELECT s.*, c.claim_status AS first_status, c.denial_reason AS first_reason,
+        lag(new_status) OVER w AS before, row_number() OVER w AS place
+        FROM status_events s JOIN unique_claims c ON c.claim_id = s.claim_id AND c.claim_line_id = s.claim_line_id
+        WINDOW w AS (PARTITION BY s.claim_id, s.claim_line_id ORDER BY s.event_timestamp, s.event_id)),
+    a AS (SELECT * FROM e
+        WHERE new_status IS DISTINCT FROM CASE WHEN place = 1 THEN first_status ELSE before END)"""
 
 
-@query("t10_streaming_merge", _STATE)
+@query(
+    "t10_streaming_merge",
+    _APPLIED
+    + """, l AS (SELECT * FROM a
+        QUALIFY row_number() OVER (PARTITION BY claim_id, claim_line_id ORDER BY event_timestamp DESC, event_id DESC) = 1)
+    SELECT c.claim_id, c.claim_line_id, claim_amount, coalesce(l.new_status, claim_status) AS claim_status,
+        CASE WHEN l.claim_id IS NULL THEN c.denial_reason ELSE l.denial_reason END AS denial_reason,
+        l.event_timestamp AS status_update_timestamp
+        FROM unique_claims c LEFT JOIN l ON l.claim_id = c.claim_id AND l.claim_line_id = c.claim_line_id""",
+)
 def _(t):
-    store = status_store(t)
-    return store.current(t.spark).select("claim_id", "claim_line_id", "claim_amount", "claim_status")
+    columns = "claim_id claim_line_id claim_amount claim_status denial_reason status_update_timestamp"
+    return status_store(t).current(t.spark).select(*columns.split())
 
 
-@query("t10_streaming_merge_compacted", _STATE)
+@query(
+    "t10_streaming_history",
+    _APPLIED
+    + """, v AS (SELECT *, lag(denial_reason) OVER w AS reason, lag(new_status) OVER w AS status, lag(event_timestamp) OVER w AS since,
+        row_number() OVER w AS version FROM a
+        WINDOW w AS (PARTITION BY claim_id, claim_line_id ORDER BY event_timestamp, event_id))
+    SELECT claim_id, claim_line_id, CASE WHEN version = 1 THEN first_status ELSE status END AS claim_status,
+        CASE WHEN version = 1 THEN first_reason ELSE reason END AS denial_reason, since AS status_update_timestamp,
+        event_timestamp AS history_effective_end_date, event_id AS history_event_id FROM v""",
+)
 def _(t):
-    store = status_store(t)
-    store.compact(t.spark, 1)
-    return store.current(t.spark).select("claim_id", "claim_line_id", "claim_amount", "claim_status")
+    columns = "claim_id claim_line_id claim_status denial_reason status_update_timestamp"
+    ends = ["history_effective_end_date", "history_event_id"]
+    return status_store(t).history(t.spark).select(*columns.split(), *ends)
 
 
 @query(
@@ -221,9 +253,18 @@ def _(t):
 
 @query("t13_progress_monitor", "SELECT 'events' AS stream_name, COUNT(*) AS input_rows FROM events")
 def _(t):
-    _, done = runner.run_sink(stream(t).select("event_id"), "progress")
-    rows = monitor.progress_rows(t.spark, done, "events")
-    return rows.groupBy("stream_name").agg(F.sum("input_rows").alias("input_rows"))
+    path = scratch.fresh(t.spark, "reports")
+    source = stream(t).select("event_id")
+    listener = monitor.ProgressWriter(t.spark, path)
+    source.sparkSession.streams.addListener(listener)
+    try:
+        runner.run_sink(source, "progress")
+        if not listener.ended.wait(120):  # reports come in order, the end last
+            raise TimeoutError("the stream's reports did not all arrive")
+    finally:
+        source.sparkSession.streams.removeListener(listener)
+    rows = t.spark.read.schema(monitor.PROGRESS).parquet(path)
+    return rows.groupBy(F.lit("events").alias("stream_name")).agg(F.sum("input_rows").alias("input_rows"))
 
 
 @query(

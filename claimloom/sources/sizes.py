@@ -23,13 +23,3 @@ def estimated_bytes(df: DataFrame) -> int:
 
 def fits_broadcast(df: DataFrame) -> bool:
     return estimated_bytes(df) <= broadcast_limit(df.sparkSession)
-
-
-def spread(df: DataFrame, *keys: str, split_bytes: int = 16 << 20) -> DataFrame:
-    """``df`` over all cores when its input is too small to be read by them all, as a single file
-    with one row group is; larger inputs already have more splits than cores and stay as they are.
-    Hashed, not round-robin, so that a repeated task sends the same rows."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if estimated_bytes(df) >= cores * split_bytes:
-        return df
-    return df.repartition(cores, *keys)

@@ -1,108 +1,108 @@
-"""Status changes applied by micro-batch to a table too large to rewrite each time.
+"""Status changes applied by micro-batch to a partitioned table.
 
-The base table is split into buckets by key. A batch reads only the buckets of its keys, writes the
-versions it replaces to the history, and appends its newest event per key; the current state is the
-base with the newest appended event per key. ``compact`` folds the events into a new base version.
-
-Order and repetition do no harm: an event older than the newest one of its key is kept but never
-wins, and a batch that runs again reads earlier batches only and replaces its own folders.
+A batch finds the partitions of its claims by a join on the keys, applies its events to those rows and replaces just
+those partitions. Events of one claim are applied in order, whether they come in one batch or in several, so the
+result does not depend on how the stream was cut. An event that is not newer than the row's last update, or does not
+change the status, changes nothing; so a batch that runs again leaves the table as it is.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from claimloom.operators.changes import CLAIM_KEYS, latest_events, merge_status, with_status_columns
-from claimloom.sources import tables
-
-BUCKET = "key_bucket"
-EVENT_COLUMNS = (
-    "event_id string, claim_id string, claim_line_id string, event_type string, old_status string, "
-    "new_status string, denial_reason string, event_timestamp timestamp, source_system string, "
-    "key_bucket int"
-)
+from claimloom.operators.changes import CLAIM_KEYS, Merge, latest_events, with_status_columns
+from claimloom.sources import scratch, tables
+
+
+def merge_in_order(current: DataFrame, events: DataFrame) -> Merge:
+    """Apply all events of the known claims, oldest first; of equal times the smaller event id first.
+
+    Each event that changes the status closes a version: ``history`` holds the replaced versions, ``applied`` the
+    events. The last applied event decides status, reason and time. ``current`` must be unique on the keys."""
+    cur = with_status_columns(current)
+    state = F.struct("claim_status", "denial_reason", "status_update_timestamp")
+    known = events.join(cur.select(*CLAIM_KEYS, state.alias("__state")), list(CLAIM_KEYS))
+    newer = F.coalesce(F.col("event_timestamp") > F.col("__state.status_update_timestamp"), F.lit(True))
+    order = Window.partitionBy(*CLAIM_KEYS).orderBy("event_timestamp", "event_id")
+    first = F.row_number().over(order) == 1
+
+    def earlier(column: str, start: str) -> Column:
+        return F.when(first, F.col(f"__state.{start}")).otherwise(F.lag(column).over(order))
+
+    steps = known.filter(newer).withColumn("__before", earlier("new_status", "claim_status"))
+    steps = steps.filter(~F.col("new_status").eqNullSafe(F.col("__before")))
+    versions = steps.select(
+        *CLAIM_KEYS,
+        F.struct(
+            earlier("new_status", "claim_status").alias("claim_status"),
+            earlier("denial_reason", "denial_reason").alias("denial_reason"),
+            earlier("event_timestamp", "status_update_timestamp").alias("status_update_timestamp"),
+        ).alias("__old"),
+        F.col("event_timestamp").alias("history_effective_end_date"),
+        F.lit("STATUS_UPDATE").alias("history_reason"),
+        F.col("event_id").alias("history_event_id"),
+    )
+    fields = ("claim_status", "denial_reason", "status_update_timestamp")
+    ends = ["history_effective_end_date", "history_reason", "history_event_id"]
+    replaced = [F.col(f"__old.{c}").alias(c) if c in fields else F.col(c) for c in cur.columns]
+    history = cur.drop(*fields).join(versions, list(CLAIM_KEYS)).select(*replaced, *ends)
+    applied = steps.drop("__state", "__before")
+    last = latest_events(applied).select(
+        *CLAIM_KEYS, F.struct("new_status", "denial_reason", "event_timestamp").alias("__ev")
+    )
+    both = cur.join(last, list(CLAIM_KEYS), "left")
+    new = {"claim_status": "new_status", "denial_reason": "denial_reason", "status_update_timestamp": "event_timestamp"}
+    out = [
+        F.when(F.col("__ev").isNotNull(), F.col(f"__ev.{new[c]}")).otherwise(F.col(c)).alias(c) if c in new else F.col(c)
+        for c in cur.columns
+    ]
+    return Merge(both.select(*out), history, applied)
 
 
 @dataclass(frozen=True)
-class StatusStore:
-    """Paths and bucket count of one status table."""
+class StatusTable:
+    """A status table below ``path``, partitioned by a column that takes few values, such as a month."""
 
     path: str
-    buckets: int = 64
-
-    def bucket(self) -> Column:
-        return F.pmod(F.xxhash64(*CLAIM_KEYS), F.lit(self.buckets)).cast("int")
+    partition: str
 
     def create(self, current: DataFrame) -> None:
-        """First version of the base, and empty event and history tables."""
-        rows = current.withColumn(BUCKET, self.bucket()).repartition(self.buckets, BUCKET)
-        tables.publish_version(rows, f"{self.path}/base", 0, [BUCKET])
-        spark = current.sparkSession
-        spark.createDataFrame([], EVENT_COLUMNS).write.mode("overwrite").parquet(f"{self.path}/events/batch_id=-1")
-
-    def base(self, spark: SparkSession) -> DataFrame:
-        return tables.read_version(spark, f"{self.path}/base")
-
-    def events(self, spark: SparkSession, before: int | None = None) -> DataFrame:
-        """Applied events, optionally only those of earlier batches."""
-        found = spark.read.schema(EVENT_COLUMNS + ", batch_id long").parquet(f"{self.path}/events")
-        return found if before is None else found.filter(F.col("batch_id") < before)
-
-    def current(self, spark: SparkSession, before: int | None = None, buckets: list[int] | None = None) -> DataFrame:
-        base, events = self.base(spark), self.events(spark, before)
-        if buckets is not None:
-            base = base.filter(F.col(BUCKET).isin(buckets))
-            events = events.filter(F.col(BUCKET).isin(buckets))
-        return fold(base.drop(BUCKET), events)
+        tables.overwrite_partitions(with_status_columns(current), f"{self.path}/current", [self.partition])
 
-    def apply(self, batch: DataFrame, batch_id: int) -> None:
-        """``foreachBatch`` step. The events are written last: they make the batch visible."""
-        spark = batch.sparkSession
-        columns = [c.split()[0] for c in EVENT_COLUMNS.split(", ")]
-        newest = latest_events(batch, CLAIM_KEYS).withColumn(BUCKET, self.bucket())
-        newest = newest.select(*columns).persist()
-        try:
-            touched = [r[0] for r in newest.select(BUCKET).distinct().collect()]  # at most ``buckets``
-            state = self.current(spark, batch_id, touched)
-            merge = merge_status(state, newest.drop(BUCKET))
-            tables_of_batch = {"history": merge.history, "applied": merge.applied, "events": newest}
-            for name, rows in tables_of_batch.items():
-                rows.write.mode("overwrite").parquet(f"{self.path}/{name}/batch_id={batch_id}")
-        finally:
-            newest.unpersist()
+    def current(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(f"{self.path}/current")
 
     def history(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(f"{self.path}/history")
 
-    def compact(self, spark: SparkSession, version: int) -> None:
-        """A new base with all events folded in. The events stay: applying them again to the new
-        base changes nothing."""
-        rows = self.current(spark).withColumn(BUCKET, self.bucket()).repartition(self.buckets, BUCKET)
-        tables.publish_version(rows, f"{self.path}/base", version, [BUCKET])
-
+    def _has_history(self, spark: SparkSession, batch_id: int) -> bool:
+        try:
+            spark.read.parquet(f"{self.path}/history/batch_id={batch_id}")
+        except AnalysisException:
+            return False
+        return True
 
-def fold(base: DataFrame, events: DataFrame) -> DataFrame:
-    """``base`` with the newest event per key, where that is newer than the row's last update."""
-    newest = latest_events(events, CLAIM_KEYS).select(
-        *[F.col(k).alias(f"__{k}") for k in CLAIM_KEYS],
-        F.struct("new_status", "denial_reason", "event_timestamp").alias("__ev"),
-    )
-    rows = with_status_columns(base)
-    on = (rows["claim_id"] == newest["__claim_id"]) & (rows["claim_line_id"] == newest["__claim_line_id"])
-    joined = rows.join(newest, on, "left")
-    newer = F.coalesce(F.col("__ev.event_timestamp") > F.col("status_update_timestamp"), F.lit(True))
-    known = F.col("__ev").isNotNull() & newer
-    other = known & ~F.col("__ev.new_status").eqNullSafe(F.col("claim_status"))
-    folded = joined.withColumns(
-        {
-            "denial_reason": F.when(other, F.col("__ev.denial_reason")).otherwise(F.col("denial_reason")),
-            "claim_status": F.when(known, F.col("__ev.new_status")).otherwise(F.col("claim_status")),
-            "status_update_timestamp": F.when(known, F.col("__ev.event_timestamp")).otherwise(
-                F.col("status_update_timestamp")
-            ),
-        }
-    )
-    return folded.select(*rows.columns)
+    def apply(self, batch: DataFrame, batch_id: int) -> None:
+        """``foreachBatch`` step. The history is written first and from the state before the batch; a batch that
+        runs again finds it and goes on with the table."""
+        spark = batch.sparkSession
+        events = scratch.written(batch, "events")
+        keys = events.select(*CLAIM_KEYS).distinct()
+        rows = self.current(spark)
+        touched = rows.join(keys, list(CLAIM_KEYS), "left_semi").select(self.partition).distinct()
+        found = [r[0] for r in touched.collect()]  # values of the partition column
+        if not found:
+            return
+        part = rows.filter(F.col(self.partition).isin([x for x in found if x is not None]))
+        if None in found:
+            part = part.union(rows.filter(F.col(self.partition).isNull()))
+        merge = merge_in_order(part, events)
+        if not self._has_history(spark, batch_id):
+            merge.history.write.mode("overwrite").parquet(f"{self.path}/history/batch_id={batch_id}")
+        # The new partitions are written aside first: a table cannot be read and replaced at once.
+        new = scratch.written(merge.current, "partitions")
+        tables.overwrite_partitions(new, f"{self.path}/current", [self.partition])

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import json
+import threading
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+from pyspark.sql import SparkSession
+from pyspark.sql.streaming import StreamingQueryListener
 
 PROGRESS = """stream_name string, batch_id long, input_rows long, input_rows_per_second double,
     events_per_second double, batch_ms long"""
@@ -23,17 +24,12 @@ def _row(name: str, p: dict) -> tuple:
     )
 
 
-def progress_rows(spark: SparkSession, query: StreamingQuery, name: str) -> DataFrame:
-    """The last reports of a query; Spark keeps a limited number of them."""
-    reports = [json.loads(p.json) if hasattr(p, "json") else p for p in query.recentProgress]
-    return spark.createDataFrame([_row(name, p) for p in reports], PROGRESS)
-
-
 class ProgressWriter(StreamingQueryListener):
     """Appends every report to a parquet table as it comes in."""
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self._spark, self._path = spark, path
+        self.ended = threading.Event()
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -47,4 +43,4 @@ class ProgressWriter(StreamingQueryListener):
         pass
 
     def onQueryTerminated(self, event) -> None:
-        pass
+        self.ended.set()

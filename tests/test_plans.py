@@ -34,7 +34,7 @@ def test_large_dimensions_are_not_broadcast(spark):
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1000")
         t = Tables(spark, FOLDER)
-        text = plan(t.fact(["claim_id", "member_state", "provider_region", "service_year"]))
+        text = plan(t.fact(["claim_id", "member_state", "provider_region", "service_date_key"]))
         assert text.count("BroadcastHashJoin") == 1 and text.count("SortMergeJoin") >= 3
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

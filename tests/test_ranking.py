@@ -16,20 +16,18 @@ def rows(spark):
 
 
 @pytest.mark.parametrize("by", [[], ["g"]])
-@pytest.mark.parametrize("task_rows", [0, 10_000])
-def test_row_number(spark, rows, by, task_rows):
-    """Sliced and plain ranks equal a window; a third of the rows share one value."""
+def test_row_number(spark, rows, by):
+    """Sliced ranks equal a window; a third of the rows share one value."""
     order = [F.col("v").desc(), F.col("id").asc()]
-    got = ranking.with_row_number(rows, "n", by, order, task_rows)
+    got = ranking.with_row_number(rows, "n", by, order)
     plain = Window.partitionBy(*(by or [F.lit(0)])).orderBy(*order)
     expected = rows.withColumn("n", F.row_number().over(plain).cast("long"))
     assert got.select("id", "g", "v", "n").exceptAll(expected).count() == 0 and got.count() == 3000
 
 
-@pytest.mark.parametrize("task_rows", [0, 10_000])
 @pytest.mark.parametrize("descending", [True, False])
-def test_value_ranks(spark, rows, task_rows, descending):
-    got = ranking.value_ranks(rows, "v", descending=descending, task_rows=task_rows)
+def test_value_ranks(spark, rows, descending):
+    got = ranking.value_ranks(rows, "v", descending=descending)
     line = Window.partitionBy(F.lit(0)).orderBy(F.col("v").desc() if descending else F.col("v").asc())
     expected = rows.select(
         "v", F.dense_rank().over(line).cast("long").alias("d"), F.rank().over(line).cast("long").alias("r")
@@ -41,7 +39,6 @@ def test_value_ranks(spark, rows, task_rows, descending):
 def test_percentiles(spark, rows):
     points = [0.0, 0.1, 0.333, 0.5, 0.9, 1.0]
     data = [r.v for r in rows.select("v").collect()]
-    for task_rows in (0, 10_000):
-        got = {r.percentile: r.amount for r in ranking.percentiles(rows, "v", points, task_rows).collect()}
-        for p in points:
-            assert got[p] == pytest.approx(np.percentile(data, p * 100))
+    got = {r.percentile: r.amount for r in ranking.percentiles(rows, "v", points).collect()}
+    for p in points:
+        assert got[p] == pytest.approx(np.percentile(data, p * 100))

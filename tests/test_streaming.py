@@ -1,6 +1,5 @@
 import json
 import os
-import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -8,7 +7,6 @@ from pyspark.sql import functions as F
 
 from claimloom import schemas
 from claimloom.config import Settings
-from claimloom.operators.changes import merge_status
 from claimloom.streaming import events as ev
 from claimloom.streaming import merge, monitor, runner
 
@@ -78,35 +76,37 @@ def test_empty_batch_metrics(spark):
     assert (row.event_count, row.late_events, row.avg_processing_delay) == (0, 0, None)
 
 
-CURRENT = "claim_id string, claim_line_id string, claim_status string, denial_reason string"
+CURRENT = "claim_id string, claim_line_id string, claim_status string, denial_reason string, month string"
+FIELDS = ["claim_id", "claim_status", "denial_reason", "status_update_timestamp"]
 
 
-@pytest.mark.parametrize("order, replaced", [([0, 1, 2], 3), ([1, 0, 2], 6)])
-def test_store_equals_one_batch(spark, tmp_path, order, replaced):
-    """Files out of order, a repeated event and a replayed batch leave the state of a single merge."""
-    rows = [(f"C{i}", "L1", "PENDING", None) for i in range(6)]
+@pytest.mark.parametrize("status, reason", [("PENDING", None), ("PAID", "KEEP"), ("DENIED", "OLD")])
+def test_table_equals_one_merge(spark, tmp_path, status, reason):
+    """Events cut into batches, a repeated event and a replayed batch leave the state and history of one merge."""
+    rows = [(f"C{i}", "L1", status, reason, f"m{i % 3}") for i in range(6)]
     base = spark.createDataFrame(rows, CURRENT)
-    store = merge.StatusStore(str(tmp_path / "store"), buckets=4)
+    store = merge.StatusTable(str(tmp_path / "store"), "month")
     store.create(base)
     folder = tmp_path / "in"
     batches = [
-        [message(1, "PAID", 10, "C1"), message(2, "PENDING", 30, "C2"), message(3, "DENIED", 5, "C3", denial_reason="r")],
-        [message(4, "DENIED", 8, "C1"), message(5, "PAID", 20, "C2"), message(9, "PAID", 1, "C99")],
-        [message(6, "ADJUSTED", 40, "C3"), message(1, "PAID", 10, "C1")],
+        [message(1, "DENIED", 1, "C1", denial_reason="r1"), message(2, "PENDING", 2, "C2"), message(3, "DENIED", 3, "C3", denial_reason="r3")],
+        [message(4, "PAID", 4, "C1"), message(5, "PAID", 5, "C2"), message(9, "PAID", 6, "C99"), message(7, "PAID", 7, "C1")],
+        [message(6, "ADJUSTED", 8, "C3"), message(1, "DENIED", 1, "C1", denial_reason="r1")],
     ]
-    for number, which in enumerate(order):
-        drop(folder, number, *batches[which])
+    for number, some in enumerate(batches):
+        drop(folder, number, *some)
     runner.run_batches(stream(spark, folder), store.apply, str(tmp_path / "checkpoint"))
     every = spark.read.schema(schemas.schema("claim_status_events", streaming=True)).json(str(folder))
-    expected = merge_status(base, every).current.select("claim_id", "claim_status", "denial_reason")
-    got = store.current(spark).select("claim_id", "claim_status", "denial_reason")
-    assert got.exceptAll(expected).count() == 0 and got.count() == 6
-    assert store.history(spark).count() == replaced
-
+    expected = merge.merge_in_order(base, every.dropDuplicates(["event_id"]))
+    state = {r[0]: tuple(r)[1:] for r in store.current(spark).select(*FIELDS).collect()}
+    assert state == {r[0]: tuple(r)[1:] for r in expected.current.select(*FIELDS).collect()} and len(state) == 6
+    assert state["C1"][:2] == ("PAID", None) and state["C0"] == (status, reason, None)
+    past = [*FIELDS, "history_effective_end_date", "history_event_id"]
+    want = sorted(map(repr, expected.history.select(*past).collect()))
+    assert sorted(map(repr, store.history(spark).select(*past).collect())) == want
     store.apply(every.filter("event_id IN ('E6')"), 2)
-    assert store.current(spark).select(*got.columns).exceptAll(expected).count() == 0
-    store.compact(spark, 1)
-    assert store.current(spark).select(*got.columns).exceptAll(expected).count() == 0
+    assert {r[0]: tuple(r)[1:] for r in store.current(spark).select(*FIELDS).collect()} == state
+    assert sorted(map(repr, store.history(spark).select(*past).collect())) == want
 
 
 def test_progress_is_appended(spark, tmp_path):
@@ -117,9 +117,7 @@ def test_progress_is_appended(spark, tmp_path):
     source.sparkSession.streams.addListener(listener)
     try:
         runner.run_sink(source, "listened")
-        deadline = time.time() + 60
-        while not os.path.exists(f"{path}/_SUCCESS") and time.time() < deadline:
-            time.sleep(0.5)
+        assert listener.ended.wait(60)
     finally:
         source.sparkSession.streams.removeListener(listener)
     assert spark.read.schema(monitor.PROGRESS).parquet(path).agg(F.sum("input_rows")).first()[0] == 2
