@@ -8,7 +8,7 @@ claims when they are small, by sort-merge when they are not.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -149,8 +149,17 @@ def risk_level(points: Column, cfg: Settings) -> Column:
     return x.ladder([(points >= cfg.risk_high, "HIGH"), (points >= cfg.risk_medium, "MEDIUM")], F.lit("LOW"))
 
 
-def claim_anomalies(fact: DataFrame, cfg: Settings) -> DataFrame:
-    found = detect(fact, cfg).filter("has_anomaly").drop("has_anomaly")
+#: What detection reads of a claim; the rest of the mart's columns is looked up for flagged claims only.
+CLAIM_INPUT = tuple(
+    """claim_id claim_line_id member_id provider_id payer_id claim_amount claim_status service_date submission_date
+    diagnosis_code procedure_code place_of_service""".split()
+)
+
+
+def claim_anomalies(claims: DataFrame, cfg: Settings, widen: Callable[[DataFrame, list[str]], DataFrame]) -> DataFrame:
+    """The anomaly mart of ``claims`` (``CLAIM_INPUT``). ``widen`` adds the dimension columns to flagged claims."""
+    flagged = detect(claims, cfg).filter("has_anomaly")
+    found = widen(flagged, [*MART_INPUT, *[flag for flag, _, _ in FLAGS], "anomaly_reasons"])
     scored = found.withColumn("anomaly_score", score(cfg))
     rated = scored.withColumn("anomaly_risk_level", risk_level(F.col("anomaly_score"), cfg))
     return rated.withColumn("requires_investigation", F.col("anomaly_risk_level") == "HIGH")

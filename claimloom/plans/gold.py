@@ -129,7 +129,8 @@ def member_mart(t, period=None):
 
 
 def anomaly_mart(t):
-    return anomaly.claim_anomalies(written(t.fact(anomaly.MART_INPUT), "anomaly-input"), t.cfg)
+    claims = written(t.claims(anomaly.CLAIM_INPUT), "anomaly-input")
+    return anomaly.claim_anomalies(claims, t.cfg, lambda rows, columns: t.fact(columns, rows))
 
 
 @query("a01_provider_performance", PROVIDER_MART)

@@ -236,8 +236,9 @@ class Tables:
             "date": self.dim_date,
         }
 
-    def fact(self, columns: Sequence[str] = fact_op.COLUMNS) -> DataFrame:
-        return fact_op.fact_claims(self.claims, self.frames, self.cfg, columns, sources=self.sources)
+    def fact(self, columns: Sequence[str] = fact_op.COLUMNS, claims: DataFrame | None = None) -> DataFrame:
+        """``claims``: rows to widen instead of all claims; columns of theirs may be asked for too."""
+        return fact_op.fact_claims(self.claims if claims is None else claims, self.frames, self.cfg, columns, sources=self.sources)
 
     @cached_property
     def sources(self) -> dict:
