@@ -312,6 +312,23 @@ def with_months(mart: DataFrame, months: DataFrame) -> DataFrame:
     return mart.join(month, on, "left").drop("__y", "__m")
 
 
+def denial_scorecard(mart: DataFrame, growth: DataFrame, months: DataFrame) -> DataFrame:
+    """The denial mart with the attributes of its month, the growth of its payer type and specialty over the quarter
+    before, and four bands. ``growth`` has one row per payer type, specialty and quarter, few enough to be joined on
+    those keys; its hot keys are split by adaptive execution."""
+    added = ["prev_quarter_denials", "prev_quarter_denied_amount", "qoq_denial_count_growth", "qoq_denial_amount_growth"]
+    quarters = growth.select(*[F.col(k).alias(f"__{k}") for k in QUARTER_KEYS], *added, "denial_trend_category")
+    on = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in QUARTER_KEYS]
+    wide = with_months(mart, months).join(quarters, on, "left").drop(*[f"__{k}" for k in QUARTER_KEYS])
+    return wide.withColumns(
+        {
+            "denial_volume_category": x.denial_volume_band(F.col("denied_claims_count")),
+            "denial_rate_category": x.denial_rate_band(F.col("denial_count_rate")),
+            "denial_value_category": x.denial_value_band(F.col("avg_denied_amount")),
+        }
+    )
+
+
 # -- published summaries -----------------------------------------------------------------------------
 def provider_monthly(mart: DataFrame) -> DataFrame:
     return mart.groupBy("provider_id", "provider_specialty_category", "service_year", "service_month").agg(

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from claimloom.operators import anomaly, marts
+from claimloom.operators.dimensions import month_dim
 from claimloom.plans.model import SETTINGS as C
 from claimloom.plans.registry import query
 from claimloom.plans.sqltext import n_if, pct, rate_avg, ratio, usd, usd_avg
@@ -148,6 +149,33 @@ def _(t):
     return denial_mart(t)
 
 
+_MONTH_NAMES = """'Q' || CAST(ceil(m.service_month / 3.0) AS INTEGER) AS quarter_name,
+    monthname(make_date(m.service_year, m.service_month, 1)) AS month_name,
+    CASE WHEN m.service_month IN (12, 1, 2) THEN 'Winter' WHEN m.service_month < 6 THEN 'Spring'
+        WHEN m.service_month < 9 THEN 'Summer' ELSE 'Fall' END AS season,
+    m.service_year + CASE WHEN m.service_month >= 10 THEN 1 ELSE 0 END AS fiscal_year,
+    (m.service_month + 2) % 12 // 3 + 1 AS fiscal_quarter"""
+
+
+@query(
+    "a02_denial_scorecard",
+    f"""SELECT m.*, {_MONTH_NAMES}, prev_quarter_denials, prev_quarter_denied_amount, qoq_denial_count_growth,
+        qoq_denial_amount_growth, denial_trend_category,
+        CASE WHEN m.denied_claims_count >= 100 THEN 'High Volume Denials' WHEN m.denied_claims_count >= 50
+            THEN 'Medium Volume Denials' ELSE 'Low Volume Denials' END AS denial_volume_category,
+        CASE WHEN denial_count_rate >= 0.20 THEN 'High Denial Rate' WHEN denial_count_rate >= 0.10
+            THEN 'Medium Denial Rate' ELSE 'Low Denial Rate' END AS denial_rate_category,
+        CASE WHEN avg_denied_amount >= 1000 THEN 'High Value Denials' WHEN avg_denied_amount >= 500
+            THEN 'Medium Value Denials' ELSE 'Low Value Denials' END AS denial_value_category
+        FROM ({DENIAL_MART}) m LEFT JOIN ({GROWTH}) g ON m.payer_type IS NOT DISTINCT FROM g.payer_type
+        AND m.provider_specialty_category IS NOT DISTINCT FROM g.provider_specialty_category
+        AND m.service_year IS NOT DISTINCT FROM g.service_year AND m.service_quarter IS NOT DISTINCT FROM g.service_quarter""",
+)
+def _(t):
+    mart = written(denial_mart(t), "denials")
+    return marts.denial_scorecard(mart, marts.denial_growth(mart), month_dim(t.dim_date()))
+
+
 @query("a03_member_utilization", MEMBER_MART)
 def _(t):
     return member_mart(t)

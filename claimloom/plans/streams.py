@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from claimloom.operators import audit, changes, marts
+from claimloom.operators import audit, marts
 from claimloom.functions.exact import money_sum
 from claimloom.plans.history import LATEST
 from claimloom.plans.model import Tables
@@ -315,24 +315,27 @@ _MONTH = "CAST(date_trunc('month', service_date) AS DATE)"
         COUNT(*) AS total_claims, {usd('claim_amount')} AS total_amount FROM m GROUP BY 1, 2""",
 )
 def _(t):
-    current = scratch.written(t.unique_claims(CURRENT), "current")
-    path = scratch.fresh(t.spark, "monthly")
+    path, month = scratch.fresh(t.spark, "monthly"), "service_month_start"
+    store = merge.StatusTable(scratch.fresh(t.spark, "status"), month)
+    store.create(t.unique_claims(CURRENT).withColumn(month, F.trunc("service_date", "MM")))
 
-    def monthly(claims):
-        months = claims.withColumn("service_month_start", F.trunc("service_date", "MM"))
-        return months.groupBy("service_month_start", "claim_status").agg(
+    def refresh(claims):
+        rows = claims.groupBy(month, "claim_status").agg(
             F.count("*").alias("total_claims"), money_sum("claim_amount").alias("total_amount")
         )
+        tables.overwrite_partitions(rows, path, [month])
 
-    tables.overwrite_partitions(monthly(current), path, ["service_month_start"])
-    result = changes.merge_status(current, t.status_events())
-    touched = result.history.select(F.trunc("service_date", "MM")).distinct().collect()  # months of the calendar
-    months = [r[0] for r in touched]
-    changed = result.current.filter(F.trunc("service_date", "MM").isin(months))
-    tables.overwrite_partitions(monthly(changed), path, ["service_month_start"])
+    refresh(store.current(t.spark))
+    touched = store.apply(t.status_events(), 0)
+    refresh(changed_months(store.current(t.spark), month, touched))
     return t.spark.read.parquet(path)
 
 
+def changed_months(current, month, touched):
+    """The claims of some months: a filter on the partition column, so other months are not read."""
+    return current.filter(F.col(month).isin(touched))
+
+
 @query(
     "t17_routed_events",
     """SELECT event_id, CASE WHEN event_type LIKE 'STATUS%' THEN 'status' WHEN event_type LIKE 'PROVIDER%'

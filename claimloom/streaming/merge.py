@@ -86,8 +86,8 @@ class StatusTable:
             return False
         return True
 
-    def apply(self, batch: DataFrame, batch_id: int) -> None:
-        """``foreachBatch`` step. The history is written first and from the state before the batch; a batch that
+    def apply(self, batch: DataFrame, batch_id: int) -> list:
+        """``foreachBatch`` step; returns the partitions it replaced. The history is written first and from the state before the batch; a batch that
         runs again finds it and goes on with the table."""
         spark = batch.sparkSession
         events = scratch.written(batch, "events")
@@ -96,7 +96,7 @@ class StatusTable:
         touched = rows.join(keys, list(CLAIM_KEYS), "left_semi").select(self.partition).distinct()
         found = [r[0] for r in touched.collect()]  # values of the partition column
         if not found:
-            return
+            return []
         part = rows.filter(F.col(self.partition).isin([x for x in found if x is not None]))
         if None in found:
             part = part.union(rows.filter(F.col(self.partition).isNull()))
@@ -106,3 +106,4 @@ class StatusTable:
         # The new partitions are written aside first: a table cannot be read and replaced at once.
         new = scratch.written(merge.current, "partitions")
         tables.overwrite_partitions(new, f"{self.path}/current", [self.partition])
+        return found

@@ -3,7 +3,7 @@
 import pytest
 
 from claimloom.operators import dashboards, marts
-from claimloom.plans import catalog
+from claimloom.plans import catalog, streams
 from claimloom.plans.model import Tables
 from claimloom.sources.scratch import written
 
@@ -51,3 +51,11 @@ def test_totals_and_distinct_counts_meet_without_a_shuffle(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     joined = text[: text.index("HashAggregate")]
     assert "SortMergeJoin" in joined and "Exchange" not in joined
+
+
+def test_a_refresh_reads_the_changed_months(spark, tmp_path):
+    rows = spark.sql("SELECT id, make_date(2020, 1 + CAST(id % 12 AS INT), 1) AS m FROM range(100)")
+    rows.write.partitionBy("m").parquet(str(tmp_path / "t"))
+    months = [r[0] for r in rows.filter("id < 2").select("m").collect()]
+    text = plan(streams.changed_months(spark.read.parquet(str(tmp_path / "t")), "m", months))
+    assert "PartitionFilters: [m#" in text and "m#" in text.split("PartitionFilters")[1].split("]")[0]
