@@ -202,8 +202,9 @@ def _distinct_labels(column: str, labels: Sequence[str]) -> Column:
 
 
 # -- second layer ----------------------------------------------------------------------------------
-def provider_scorecard(mart: DataFrame, providers: DataFrame) -> DataFrame:
-    """Provider mart with address, four ranks by amount and three bands."""
+def provider_scorecard(mart: DataFrame, providers: DataFrame, ranks: Sequence[str] | None = None) -> DataFrame:
+    """Provider mart with address, four ranks by amount (or those named) and three bands. A rank within a
+    period only needs the mart of that period."""
     details = providers.filter("is_current").select(
         F.col("provider_sk").alias("__sk"),
         "provider_name",
@@ -212,7 +213,7 @@ def provider_scorecard(mart: DataFrame, providers: DataFrame) -> DataFrame:
         F.col("state").alias("provider_state"),
     )
     enriched = mart.join(details, F.col("provider_sk") == F.col("__sk"), "left").drop("__sk")
-    return with_bands(with_four_ranks(enriched))
+    return with_bands(with_four_ranks(enriched, ranks=ranks))
 
 
 # Rank names and their groups.
@@ -225,11 +226,13 @@ RANK_GROUPS = {
 MONTH_TIES = ("total_claim_amount", "provider_id", "service_month", "provider_network_status", "provider_sk")
 
 
-def with_four_ranks(mart: DataFrame, ties: Sequence[str] = MONTH_TIES) -> DataFrame:
+def with_four_ranks(
+    mart: DataFrame, ties: Sequence[str] = MONTH_TIES, ranks: Sequence[str] | None = None
+) -> DataFrame:
     """Ranks by amount within specialty and region, per quarter and year. The groups are few and
     grow with the number of providers, hence ``with_row_numbers``."""
     order = [F.col("total_claim_amount").desc()] + [F.col(c).asc() for c in ties[1:]]
-    return with_row_numbers(mart, RANK_GROUPS, order)
+    return with_row_numbers(mart, {name: RANK_GROUPS[name] for name in ranks or RANK_GROUPS}, order)
 
 
 def with_bands(mart: DataFrame) -> DataFrame:

@@ -141,7 +141,7 @@ def _(t):
         ORDER BY total_claim_amount DESC, provider_id, service_month LIMIT 20""",
 )
 def _(t):
-    card = marts.provider_scorecard(provider_mart(t, d.in_quarter), t.dim_provider())
+    card = marts.provider_scorecard(provider_mart(t, d.in_quarter), t.dim_provider(), ["specialty_rank_quarter"])
     return d.provider_ranking(card)
 
 

@@ -116,7 +116,7 @@ GROWTH = f"SELECT * EXCLUDE (g), g AS qoq_denial_count_growth FROM ({GROWTH})"
 
 # -- marts ---------------------------------------------------------------------------------------
 def provider_mart(t, period=None):
-    fact = t.fact(marts.PROVIDER_INPUT)
+    fact = t.fact([*marts.PROVIDER_INPUT, *{"service_date"}.difference(marts.PROVIDER_INPUT)])
     return marts.provider_performance(fact if period is None else period(fact, t.as_of), t.frames)
 
 
@@ -234,7 +234,8 @@ _SUMMARY = """provider_id, provider_name, provider_specialty_category, service_y
     f"SELECT {_SUMMARY} FROM ({SCORECARD}) WHERE provider_id = 7 AND service_year = 2000 AND service_quarter = 3",
 )
 def _(t):
-    card = marts.provider_scorecard(provider_mart(t), t.dim_provider())
+    quarter = lambda fact, _: fact.filter("service_date >= DATE '2000-07-01' AND service_date < DATE '2000-10-01'")
+    card = marts.provider_scorecard(provider_mart(t, quarter), t.dim_provider(), ["specialty_rank_quarter"])
     return marts.provider_summary(card, 7, 2000, 3)
 
 

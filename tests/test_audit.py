@@ -74,3 +74,10 @@ def test_growth_skips_gaps_and_zero(spark):
     )
     change = {r.month.month: r.mom for r in kpis.change_over(months, "total_claims", {"mom": 1}).collect()}
     assert change == {1: None, 2: None, 3: None, 4: None}
+
+
+def test_providers_without_an_amount_keep_their_row(spark):
+    totals = spark.createDataFrame([(1, 5.0), (2, None), (3, 7.0)], "provider_id long, total_amount double")
+    ranks = {r.provider_id: r.provider_rank for r in kpis.dense_provider_rank(totals).collect()}
+    shares = {r.provider_id: r.provider_percentile for r in kpis.provider_percentile(totals).collect()}
+    assert ranks == {1: 2, 2: None, 3: 1} and shares == {1: 0.0, 2: None, 3: 0.5}

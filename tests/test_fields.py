@@ -108,3 +108,10 @@ def test_unknown_schema():
 def test_event_schema(spark):
     assert "additional_data" in schemas.schema("claim_status_events", streaming=True).names
     assert "additional_data" not in schemas.schema("claim_status_events").names
+
+
+def test_separators_do_not_mix_up_keys(spark):
+    rows = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), ("a\\", "|b"), ("a", "\\|b"), ("a\\|", "b")], "x string, y string")
+    both = [F.col("x"), F.col("y")]
+    keys = rows.select(x.surrogate_key(*both).alias("k"), x.record_hash(both).alias("h")).collect()
+    assert len({r.k for r in keys}) == 5 and len({r.h for r in keys}) == 5
