@@ -154,10 +154,15 @@ def top(vectors: DataFrame, is_query, k: int = 5, scale: int = 256) -> DataFrame
     rows = scratch.written(rows.mapInArrow(_integers(scale), "vec_id long, dim int, length double, cells binary"), "vectors")
     order = [F.col("dim"), F.col("length").desc(), F.col("vec_id")]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sorted_ = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    buckets = scratch.written(sorted_.mapInArrow(_blocks(BUCKET), _PACKED), "buckets")
-    asked = rows.filter(is_query).distinct().repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    asked = asked.mapInArrow(_blocks(QUERIES), _PACKED)
+
+    def blocks(df: DataFrame, size: int) -> DataFrame:
+        # No more partitions than full blocks, else every partition ends in a small one.
+        full = max(1, df.count() // size)
+        placed = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).coalesce(full)
+        return placed.mapInArrow(_blocks(size), _PACKED)
+
+    buckets = scratch.written(blocks(rows, BUCKET), "buckets")
+    asked = blocks(rows.filter(is_query).distinct(), QUERIES)
     asked = scratch.written(
         asked.select(F.col("part").alias("q_part"), "dim", F.col("longest").alias("q_longest"), F.col("n").alias("q_n"), F.col("ids").alias("q_ids"), F.col("cells").alias("q_cells")),
         "queries",
