@@ -95,6 +95,12 @@ def _(t):
     return drained(t, marked.select(*EVENT), "marked")
 
 
+@query("t05_late_limit", f"SELECT event_id FROM status_events WHERE {_DELAY} <= 3600")
+def _(t):
+    derived = ev.derive_events(valid(t, stream(t)), t.cfg, F.col("arrival"))
+    return drained(t, ev.within_limit(derived, t.cfg).select("event_id"), "in-time")
+
+
 @query("t06_deduplicated", f"SELECT {_EVENT} FROM status_events")
 def _(t):
     twice = valid(t, stream(t)).select(*EVENT, F.explode(F.array(F.lit(1), F.lit(2))).alias("copy"))
@@ -129,11 +135,12 @@ def metrics(t: Tables):
 @query(
     "t08_batch_metrics",
     f"""SELECT COUNT(*) AS event_count, {n_if(f'{_DELAY} > 300')} AS late_events,
-        {n_if(f'NOT ({_VALID})')} AS rejected_events FROM status_source""",
+        {n_if(f'NOT ({_VALID})')} AS rejected_events, CAST(sum({_DELAY}) AS BIGINT) AS total_delay FROM status_source""",
 )
 def _(t):
     columns = ["event_count", "late_events", "rejected_events"]
-    return metrics(t).agg(*[F.sum(c).alias(c) for c in columns])
+    delay = F.round(F.col("avg_processing_delay") * F.col("event_count")).cast("long")  # whole seconds again
+    return metrics(t).agg(*[F.sum(c).alias(c) for c in columns], F.sum(delay).alias("total_delay"))
 
 
 def routed(t: Tables, sinks: dict) -> str:

@@ -86,6 +86,11 @@ def derive_events(events: DataFrame, cfg: Settings, arrival: Column) -> DataFram
     )
 
 
+def within_limit(derived: DataFrame, cfg: Settings) -> DataFrame:
+    """Events that are not later than ``drop_seconds``; the others are too late to be applied."""
+    return derived.filter(F.col("processing_delay_seconds") <= cfg.drop_seconds)
+
+
 def deduplicate(events: DataFrame, cfg: Settings, key: str = "event_id") -> DataFrame:
     """One event per id within the watermark; state older than the watermark is dropped."""
     return events.withWatermark("event_timestamp", cfg.watermark).dropDuplicatesWithinWatermark([key])

@@ -55,6 +55,22 @@ def test_late_flag(spark):
     assert [r.is_late_event for r in got] == [False, True] and len({r.record_hash for r in got}) == 1
 
 
+def test_events_too_late_are_dropped(spark):
+    rows = [(1, 3_600), (2, 3_601), (3, None)]
+    df = spark.createDataFrame(rows, "event_id int, processing_delay_seconds long")
+    assert [r.event_id for r in ev.within_limit(df, CFG).collect()] == [1]
+
+
+def test_state_behind_the_watermark_is_evicted(spark, tmp_path):
+    """A key that is gone from the state lets a later copy through; one still within the watermark does not."""
+    folder = tmp_path / "in"
+    drop(folder, 1, message(1), message(2, minutes=20))
+    drop(folder, 2, message(3, minutes=40))
+    drop(folder, 3, message(1, minutes=41), message(3, minutes=41), message(4, minutes=1))
+    got = drained(spark, ev.deduplicate(stream(spark, folder), CFG), "evicted").collect()
+    assert sorted(r.event_id for r in got) == ["E1", "E1", "E2", "E3"]
+
+
 def test_duplicates_within_the_watermark(spark, tmp_path):
     folder = tmp_path / "in"
     drop(folder, 1, message(1), message(1), message(2))
