@@ -120,6 +120,48 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
 
 
 SQL = {
+    "op7_substring_dedup": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+        ), w AS (
+            SELECT r, unnest(words) AS word, generate_subscripts(words, 1) AS p FROM d
+        ), g AS (
+            SELECT r, p, word, count(*) OVER f AS size, sha256(string_agg(word, ' ') OVER f) AS passage
+            FROM w WINDOW f AS (PARTITION BY r ORDER BY p ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING)
+        ), c AS (
+            SELECT r, p, word, CASE WHEN size = 35 AND count(*) OVER (PARTITION BY size = 35, passage) > 1 THEN 1 ELSE 0 END AS again FROM g
+        ), m AS (
+            SELECT r, p, word, max(again) OVER (PARTITION BY r ORDER BY p ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) = 1 AS gone FROM c
+        ), a AS (
+            SELECT r, count(*) FILTER (gone) AS n, string_agg(word, ' ' ORDER BY p) FILTER (NOT gone) AS kept FROM m GROUP BY r
+        )
+        SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM d LEFT JOIN a USING (r)
+    """,
+    "op9_minhash_dedup": r"""
+        WITH RECURSIVE d AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), s AS (
+            SELECT DISTINCT r, shingle FROM (
+                SELECT r, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                    ELSE [array_to_string(w[i : i + 4], ' ') for i in range(1, len(w) - 3)] END) AS shingle FROM d)
+        ), n AS (
+            SELECT r, count(*) AS n FROM s GROUP BY r
+        ), k AS (
+            SELECT a.r AS x, b.r AS y, count(*) AS k FROM s a JOIN s b ON a.shingle = b.shingle AND a.r < b.r GROUP BY ALL
+        ), e AS (
+            SELECT x, y FROM k JOIN n p ON p.r = x JOIN n q ON q.r = y WHERE 100 * k >= 85 * (p.n + q.n - k)
+        ), b AS (
+            SELECT x, y FROM e UNION ALL SELECT y, x FROM e
+        ), t AS (
+            SELECT r AS x, r AS y FROM d UNION SELECT t.x, b.y FROM t JOIN b ON t.y = b.x
+        ), c AS (
+            SELECT t.x AS r, min(doc_id) AS component_id FROM t JOIN d ON d.r = t.y GROUP BY t.x
+        )
+        SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM d JOIN c USING (r) LEFT JOIN n USING (r)
+    """,
     "op8_topk_search": """
         WITH v AS (
             SELECT row_number() OVER () AS row, vec_id, [floor(256 * x::DOUBLE)::BIGINT for x in embedding] AS cells FROM embeddings

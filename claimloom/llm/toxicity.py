@@ -218,13 +218,13 @@ def _separate(x: np.ndarray, y: np.ndarray, cost: float = 1.0) -> np.ndarray:
     sign = np.where(y > 0, 1.0, -1.0)
     weight = cost * len(y) / (2 * np.where(y > 0, max((y > 0).sum(), 1), max((y <= 0).sum(), 1)))
     w, ridge = np.zeros(x.shape[1]), np.diag(np.append(np.ones(x.shape[1] - 1), 1e-6))
-    for _ in range(50):
+    for turn in range(50):
         active = sign * (x @ w) < 1
         a = x[active] * weight[active, None]
         new = np.linalg.solve(ridge + a.T @ x[active], a.T @ sign[active])
         if np.abs(new - w).max() < 1e-8:
             break
-        w = 0.5 * w + 0.5 * new if _ > 10 else new
+        w = (w + new) / 2 if turn > 10 else new  # damped, should the active rows alternate
     return w
 
 

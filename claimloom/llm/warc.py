@@ -178,13 +178,13 @@ class _Writer(DataSourceArrowWriter):
     def write(self, iterator) -> _Written:
         system, folder = self._folder()
         system.create_dir(folder, recursive=True)
-        names, out, size = [], None, 0
+        names, out = [], None
         for batch in iterator:
             for row in batch.to_pylist():
                 if out is None:
                     names.append(f"part-{uuid.uuid4().hex}.warc.gz")
-                    out, size = system.open_output_stream(f"{folder}/.{names[-1]}", compression=None), 0
-                size += out.write(member(record(row))) or 0
+                    out = system.open_output_stream(f"{folder}/.{names[-1]}", compression=None)
+                out.write(member(record(row)))
                 if out.tell() >= FILE_BYTES:
                     out.close()
                     out = None
