@@ -143,9 +143,9 @@ def _valued(make: Callable[[], Callable[[bytes], list[int]]]):
             yield pa.record_batch(
                 [
                     pa.array([at[a] for a, _ in rows], pa.int64()),
-                    pa.array([numbers[a:b].tobytes() for a, b in rows], pa.binary()),
-                    pa.array([lengths[a:b].tobytes() for a, b in rows], pa.binary()),
-                    pa.array([values[ends[a] : ends[b]].tobytes() for a, b in rows], pa.binary()),
+                    pa.array([pack(numbers[a:b]) for a, b in rows], pa.binary()),
+                    pa.array([pack(lengths[a:b]) for a, b in rows], pa.binary()),
+                    pa.array([pack(values[ends[a] : ends[b]]) for a, b in rows], pa.binary()),
                 ],
                 names=["block", "number", "length", "value"],
             )
@@ -185,8 +185,8 @@ def stretches(ends: np.ndarray):
 def block_values(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of a row of ``with_values``: all values, and by word number where they start and how many there are."""
     found = row["found"] or []
-    numbers, lengths = (np.concatenate([np.frombuffer(x[k], "<u4") for x in found]) if found else np.zeros(0, np.uint32) for k in ("number", "length"))
-    values = np.frombuffer(b"".join(x["value"] for x in found), "<u4")
+    numbers, lengths = (np.concatenate([unpack(x[k]) for x in found]) if found else np.zeros(0, np.uint32) for k in ("number", "length"))
+    values = np.concatenate([unpack(x["value"]) for x in found]) if found else np.zeros(0, np.uint32)
     starts, sizes = np.zeros(len(numbers), np.int64), np.zeros(len(numbers), np.int64)
     starts[numbers] = np.cumsum(lengths.astype(np.int64)) - lengths
     sizes[numbers] = lengths
