@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm import pretokens
+from claimloom.llm import pretokens, shared
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -53,7 +53,7 @@ def _assembled(key: str):
                     texts = [ids[a:b] for a, b in zip(lengths[:-1], lengths[1:], strict=True)]
                     yield pa.record_batch([pa.array(row[key][first:end]), pa.array(texts, pa.binary())], names=[key, "ids"])
 
-    return run
+    return shared.frugal(run)
 
 
 def _decoded(table: dict[int, bytes]):
@@ -70,7 +70,7 @@ def _decoded(table: dict[int, bytes]):
                 texts.append(None if ids is None else pretokens.gather(everything, starts, sizes, np.frombuffer(ids, "<u4")).tobytes())
             yield pa.record_batch([*batch.columns, pa.array(texts, pa.binary())], names=[*batch.schema.names, "decoded"])
 
-    return run
+    return shared.frugal(run)
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, key: str = "doc_id") -> DataFrame:

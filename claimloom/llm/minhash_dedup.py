@@ -121,7 +121,7 @@ def _rows(count: int, width: int):
                     names=["doc_id", "digest", "n_shingles", "print", "bands"],
                 )
 
-    return run
+    return shared.frugal(run)
 
 
 def _sets(coordinates: int):
@@ -139,7 +139,7 @@ def _sets(coordinates: int):
                     names=["print", "short", "shingles"],
                 )
 
-    return run
+    return shared.frugal(run)
 
 
 def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -158,7 +158,7 @@ def _linked(percent: int):
             picked = batch.select(["print", "hub"]).filter(pa.array(good, pa.bool_()))
             yield from picked.to_batches() if isinstance(picked, pa.Table) else [picked]
 
-    return run
+    return shared.frugal(run)
 
 
 def _block_links(percent: int):

@@ -92,7 +92,7 @@ def _split(key: str, pattern: str, whole: frozenset[str], special: str | None):
                 )
                 made += 1
 
-    return run
+    return shared.frugal(run)
 
 
 @dataclass
@@ -150,7 +150,7 @@ def _valued(make: Callable[[], Callable[[bytes], list[int]]]):
                 names=["block", "number", "length", "value"],
             )
 
-    return run
+    return shared.frugal(run)
 
 
 def gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray, order: np.ndarray) -> np.ndarray:

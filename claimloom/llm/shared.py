@@ -3,6 +3,8 @@ and connected components."""
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import hashlib
 
 import numpy as np
@@ -23,6 +25,24 @@ _ODD1, _ODD2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _cache: dict[str, np.ndarray] = {}
 
 
+def frugal(run):
+    """A function of batches that returns freed memory to the system when its task ends. Python workers live on between
+    tasks, and what earlier steps left would count against the executor."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (OSError, AttributeError):  # another C library: nothing to do
+                pass
+
+    return wrapped
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers whose output bits all depend on all input bits."""
     x = x.astype(np.uint64, copy=True)

@@ -169,7 +169,7 @@ def _symbols(width: int):
                     names=["doc_id", "digest", "n_words", "kept_sha256", "symbols", "symbol", "pack", "times"],
                 )
 
-    return run
+    return shared.frugal(run)
 
 
 def _windows(width: int):
@@ -197,7 +197,7 @@ def _windows(width: int):
                     names=["number", "window", "symbol", "times"],
                 )
 
-    return run
+    return shared.frugal(run)
 
 
 def _removed(width: int):
@@ -230,7 +230,7 @@ def _removed(width: int):
                     names=["digest", "n_removed", "kept"],
                 )
 
-    return run
+    return shared.frugal(run)
 
 
 def _find(docs: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm import byte_bpe, pretokens
+from claimloom.llm import byte_bpe, pretokens, shared
 
 
 def byte_letters() -> dict[int, str]:
@@ -85,7 +85,7 @@ def _summed(key: str):
                     [pa.array(row[key]), pa.array(row["n_bytes"], pa.int64()), pa.array(counts)], names=[key, "n_bytes", "n_tokens"]
                 )
 
-    return run
+    return shared.frugal(run)
 
 
 def counts(docs: DataFrame, vocabulary: Vocabulary, pattern: str, key: str = "doc_id", limit: int = 512) -> DataFrame:

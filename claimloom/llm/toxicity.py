@@ -291,7 +291,7 @@ def _scored(model: Model):
                     score = 1 / (1 + np.exp(-np.clip(model.curve[0] * margin + model.curve[1], -30, 30)))
                 yield pa.record_batch([*part.columns, pa.array(score, pa.float64())], names=[*part.schema.names, "_score"])
 
-    return run
+    return shared.frugal(run)
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
