@@ -5,10 +5,10 @@ becomes a response record, the others revisit records that name it. Each record
 writes files of about ``FILE_BYTES`` through Spark's data source interface, under hidden names that the job's commit makes
 visible, so tasks that run twice leave nothing that is read.
 
-Reading: a record counts if its member unpacks, its head and length fit and a response's payload has the digest that
+Reading: a record counts if its member unpacks that far, its head and length fit and a response's payload has the digest that
 its head names. After a failed check the reader searches for the next gzip member or version line that starts a
-good record, goes on there, and logs the bytes between as a gap (file, first byte, end, reason). Plain archives and files
-that mix both are read by the same rules.
+good record, goes on there, and logs the bytes between as a gap (file, first byte, end, reason). Of a member that is damaged
+or holds bad records, the good ones are kept and a gap is logged for the rest. Plain archives and files that mix both are read by the same rules.
 
 Null payloads count as empty, a null url is left out of the head. Rows that share the smallest id of equal payloads are
 all responses. A null id is no candidate for the smallest one unless all are null.
@@ -34,7 +34,6 @@ VERSION = b"WARC/1.1\r\n"
 _STEP = 1 << 16
 _HEAD = re.compile(rb"WARC/1\.[01]\r\n")
 _MEMBER = b"\x1f\x8b\x08"
-_LONGEST_HEAD = 1 << 20
 _CONTENT = "id string, kind string, url string, payload binary, payload_bytes long, payload_digest string, refers_to string"
 _READ = "file string, first_byte long, end_byte long, reason string, " + _CONTENT
 
@@ -65,21 +64,23 @@ def _parsed(data: bytes, at: int = 0) -> tuple[dict | None, int, str]:
     """The record at a place of unpacked bytes, where it ends, and why it is none."""
     if not _HEAD.match(data, at):
         return None, at, "no version line"
-    stop = data.find(b"\r\n\r\n", at, at + _LONGEST_HEAD)
-    if stop < 0:
-        return None, at, "head does not end"
-    fields = {}
-    for line in data[at:stop].split(b"\r\n")[1:]:
-        name, colon, value = line.partition(b":")
+    fields, stop = {}, data.find(b"\r\n", at)
+    while True:  # a line without a colon ends the search, so what follows damage is not looked through for each version line
+        begin, stop = stop + 2, data.find(b"\r\n", stop + 2)
+        if stop < 0:
+            return None, at, "head does not end"
+        if stop == begin:
+            break
+        name, colon, value = data[begin:stop].partition(b":")
         if not colon:
             return None, at, "bad head line"
         fields[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
     if not fields.get("content-length", "").isdigit():
         return None, at, "no length"
-    end = stop + 4 + int(fields["content-length"])
+    end = stop + 2 + int(fields["content-length"])
     if data[end : end + 4] != b"\r\n\r\n":
         return None, at, "length does not fit"
-    body, digest = data[stop + 4 : end], fields.get("warc-payload-digest", "").removeprefix("sha256:")
+    body, digest = data[stop + 2 : end], fields.get("warc-payload-digest", "").removeprefix("sha256:")
     kind = fields.get("warc-type", "")
     if kind == "response" and digest and hashlib.sha256(body).hexdigest() != digest:
         return None, at, "digest differs"
@@ -100,49 +101,78 @@ def _parsed(data: bytes, at: int = 0) -> tuple[dict | None, int, str]:
     )
 
 
-def _at(data: bytes, at: int) -> tuple[list[dict], int, str]:
-    """Records of the member or plain record at a place of a file, and where it ends."""
-    if data.startswith(_MEMBER, at):
-        unpacker, parts, read = zlib.decompressobj(31), [], at
+def _unpacked(data: bytes, at: int) -> tuple[bytes, int, str]:
+    """What the member at a place unpacks to, as far as it does, where it ends, and what is wrong with it."""
+    unpacker, parts, read, step = zlib.decompressobj(31), [], at, _STEP
+    while not unpacker.eof and read < len(data):
         try:
-            while not unpacker.eof and read < len(data):
-                parts.append(unpacker.decompress(data[read : read + _STEP]))
-                read = min(read + _STEP, len(data))
+            parts.append(unpacker.decompress(data[read : read + step]))
         except zlib.error:
-            return [], at, "member does not unpack"
-        if not unpacker.eof:
-            return [], at, "member is cut off"
-        inner, found, place = b"".join(parts), [], 0
-        while place < len(inner):
-            one, place, why = _parsed(inner, place)
-            if one is None:
-                return [], at, why
+            if step == 1:
+                return b"".join(parts), read, "member does not unpack"
+            unpacker, step = zlib.decompressobj(31), 1  # again, byte by byte from here on, for all that comes before the damage
+            parts = [unpacker.decompress(data[at:read])]
+            continue
+        read = min(read + step, len(data))
+    return b"".join(parts), read - len(unpacker.unused_data), "" if unpacker.eof else "member is cut off"
+
+
+def _inside(data: bytes) -> tuple[list[dict], str]:
+    """Good records of unpacked bytes, and why others are none."""
+    found, at, reason = [], 0, ""
+    while at < len(data):
+        one, end, why = _parsed(data, at)
+        if one:
             found.append(one)
-        return found, read - len(unpacker.unused_data), "" if found else "empty member"
+            at = end
+            continue
+        reason = reason or why
+        line = _HEAD.search(data, at + 1)
+        at = line.start() if line else len(data)
+    return found, reason
+
+
+def _at(data: bytes, at: int) -> tuple[list[dict], int, str]:
+    """Records of the member or plain record at a place of a file, where it ends (at the place itself, if that is not known),
+    and why something of it is lost."""
+    if data.startswith(_MEMBER, at):
+        inner, end, broken = _unpacked(data, at)
+        found, why = _inside(inner)
+        return found, at if broken or not found else end, broken or why or ("" if found else "empty member")
     one, end, why = _parsed(data, at)
     return ([one], end, "") if one else ([], at, why)
 
 
 def salvage(data: bytes):
-    """(first byte, end, reason, record or None) of every record and every gap of an archive's bytes, in order."""
-    at, lost, reason = 0, None, ""
+    """(first byte, end, reason, record or None) of every record and every gap of an archive's bytes, in order. A member of which
+    only some records are good gives these and a gap, all with the bytes of the member."""
+    at, lost, reason, kept = 0, None, "", []
+
+    def ended(end: int):
+        for one in kept:
+            yield lost, end, None, one
+        if lost is not None:
+            yield lost, end, reason, None
+
     while at < len(data):
         found, end, why = _at(data, at)
         if found:
-            if lost is not None:
-                yield lost, at, reason, None
-                lost = None
-            for one in found:
-                yield at, end, None, one
-            at = end
-            continue
-        if lost is None:
+            yield from ended(at)
+            lost, kept = None, []
+            if end > at:
+                for one in found:
+                    yield at, end, None, one
+                if why:
+                    yield at, end, why, None
+                at = end
+                continue
+            lost, reason, kept = at, why, found
+        elif lost is None:
             lost, reason = at, why
         plain = _HEAD.search(data, at + 1)
         packed = data.find(_MEMBER, at + 1)
         at = min([x for x in (plain.start() if plain else -1, packed) if x >= 0], default=len(data))
-    if lost is not None:
-        yield lost, len(data), reason, None
+    yield from ended(len(data))
 
 
 class Archive(DataSource):

@@ -64,6 +64,27 @@ def test_members_and_plain_records_in_one_file():
     assert told(one + two + one) == (["1", "2", "3", "1"], [])
 
 
+def test_long_urls_come_back(spark):
+    rows = [(1, "http://a/" + "%" * 600_000, "x"), (2, "http://b/" + "y" * 2_000_000, "z" * 200), (3, "http://c/", "z" * 200)]
+    assert sorted(r.page_id for r in warc.round_trip(spark.createDataFrame(rows, SCHEMA)).collect()) == [1, 2, 3]
+
+
+def test_archive_packed_as_one_member():
+    rnd = random.Random(5)
+    parts = [warc.record(row(str(k), rnd.randbytes(30_000))) for k in range(6)]
+    bad = bytearray(b"".join(parts))
+    bad[len(parts[0]) + 5_000] ^= 255
+    packed = warc.member(bytes(bad))
+    assert told(packed) == (list("02345"), [(0, len(packed))])
+    whole, after = warc.member(b"".join(parts)), warc.member(parts[0])
+    cut = whole[: len(whole) // 2 - 5_000]
+    assert told(cut) == (list("01"), [(0, len(cut))])
+    assert told(cut + after) == (told(cut)[0] + ["0"], [(0, len(cut))])
+    hurt = whole[:100_000] + b"\xff" * 50 + whole[100_050:]
+    ids, gaps = told(hurt + after)
+    assert ids[:3] == list("012") and ids[-1] == "0" and "3" not in ids and gaps == [(0, len(hurt))]
+
+
 def test_gaps_are_logged(spark, tmp_path):
     (tmp_path / "x.warc").write_bytes(warc.record(row("1", b"a")) + b"lost" + warc.record(row("2", b"b")))
     rows = warc.read(spark, str(tmp_path)).orderBy("first_byte").collect()
