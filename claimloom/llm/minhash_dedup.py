@@ -200,6 +200,11 @@ def groups(docs: DataFrame, percent: int = 80) -> DataFrame:
     """One row for each row of ``docs`` (doc_id, text; other columns are ignored): doc_id, n_shingles,
     component_id (the smallest id reachable over links of ``percent`` similarity), kept (doc_id is that id),
     digest (of the text)."""
+    return _labelled(docs, percent).drop("label")
+
+
+def _labelled(docs: DataFrame, percent: int) -> DataFrame:
+    """``groups`` with the label of the component, which no other has even if ids repeat; null for empty texts."""
     docs = docs.select("doc_id", "text", _digest())
     count, width = bands_for(percent)
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -247,7 +252,7 @@ def groups(docs: DataFrame, percent: int = 80) -> DataFrame:
     final = shared.components(links.union(more), "print", "hub").select(F.col("node").alias("print"), "label")
     known = classes.select("print", "first_id").join(final, "print", "left").withColumn("label", F.coalesce("label", "print"))
     least = known.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    known = known.join(least, "label").select("print", "component_id")
+    known = known.join(least, "label").select("print", "component_id", "label")
     out = rows.select("doc_id", "digest", "n_shingles", "print").join(known, "print", "left")
     component = F.when(F.col("print").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select(
@@ -256,15 +261,19 @@ def groups(docs: DataFrame, percent: int = 80) -> DataFrame:
         component.alias("component_id"),
         F.col("doc_id").eqNullSafe(component).alias("kept"),
         "digest",
+        "label",
     )
 
 
 def one_of_each(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """``docs`` with the same columns, without the rows whose component has a smaller id; of equal rows (id and
-    text) one stays. Empty texts are alone in their component, so they all stay, equal rows apart."""
+    """``docs`` with the same columns and one row of each component: the smallest id (null comes last), then the smallest digest
+    of the text; of equal rows (id and text) one stays. Empty texts are alone in their component, so they all stay, equal rows apart."""
     columns = docs.columns
-    found = groups(docs, percent).filter("kept")
-    found = found.select(F.col("doc_id").alias("_kept_id"), F.col("digest").alias("_kept_digest")).distinct()
+    rows = _labelled(docs, percent).select("label", "doc_id", "digest")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")).alias("first")
+    found = rows.filter("label IS NOT NULL").groupBy("label").agg(first).select("first.doc_id", "first.digest")
+    found = found.union(rows.filter("label IS NULL").select("doc_id", "digest").distinct())
+    found = found.select(F.col("doc_id").alias("_kept_id"), F.col("digest").alias("_kept_digest"))
     keyed = docs.withColumn("_digest", _digest())
     same = F.col("doc_id").eqNullSafe(F.col("_kept_id")) & (F.col("_digest") == F.col("_kept_digest"))
     return keyed.join(found, same, "left_semi").dropDuplicates(["doc_id", "_digest"]).select(*columns)

@@ -67,6 +67,15 @@ def test_odd_rows(spark):
     assert sorted(str(r.doc_id) for r in left.collect()) == ["1", "2", "3", "4", "5", "7", "9", "None"]
 
 
+def test_one_row_stays_when_ids_repeat_or_are_null(spark):
+    long = [f"w{k}" for k in range(100)]
+    near = lambda prefix: [" ".join(prefix + w for w in [*long[:99], end]) for end in ("x", "y", "z")]
+    same, none, other, mixed = near("a"), near("b"), near("c"), near("d")
+    rows = [(1, x) for x in same] + [(None, x) for x in none] + [(1, x) for x in other] + [(None, mixed[0]), (7, mixed[1]), (8, mixed[2])]
+    left = [tuple(r) for r in minhash_dedup.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(text[0] for _, text in left) == ["a", "b", "c", "d"] and (7, mixed[1]) in left
+
+
 def test_empty_table(spark):
     assert minhash_dedup.groups(empty(spark)).count() == 0
     assert minhash_dedup.one_of_each(empty(spark)).count() == 0
