@@ -15,6 +15,7 @@ the session's warehouse until ``drop``.
 from __future__ import annotations
 
 import array
+import heapq
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -194,20 +195,22 @@ def block_values(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def merged(word: list, rank: Callable) -> list:
-    """Byte-pair merging: the neighbours with the lowest rank become one, the leftmost first, until no pair has a
-    rank (null)."""
-    while len(word) > 1:
-        ranks = [rank(a, b) for a, b in zip(word, word[1:], strict=False)]
-        least = min((r for r in ranks if r is not None), default=None)
-        if least is None:
-            break
-        out, k = [], 0
-        while k < len(word):
-            if k < len(ranks) and ranks[k] == least:
-                out.append(word[k] + word[k + 1])
-                k += 2
-            else:
-                out.append(word[k])
-                k += 1
-        word = out
-    return word
+    """Byte-pair merging: of all neighbours those with the lowest rank become one, the leftmost first, until no pair has a
+    rank (null). Pairs wait in a heap and what is left stands in a linked list, so n symbols take n log n steps."""
+    n, word = len(word), list(word)
+    before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+    heap = [(r, k) for k in range(n - 1) if (r := rank(word[k], word[k + 1])) is not None]
+    heapq.heapify(heap)
+    while heap:
+        r, k = heapq.heappop(heap)
+        other = after[k]
+        if word[k] is None or other == n or rank(word[k], word[other]) != r:
+            continue  # one of the two has become part of another symbol
+        word[k], word[other], after[k] = word[k] + word[other], None, after[other]
+        if after[k] < n:
+            before[after[k]] = k
+            if (r := rank(word[k], word[after[k]])) is not None:
+                heapq.heappush(heap, (r, k))
+        if before[k] >= 0 and (r := rank(word[before[k]], word[k])) is not None:
+            heapq.heappush(heap, (r, before[k]))
+    return [x for x in word if x is not None]

@@ -8,7 +8,21 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import byte_bpe, chat_format, decontaminate, minhash_dedup, substring_dedup, token_counts, topk_search, toxicity, url_filter, warc
+from claimloom.llm import (
+    byte_bpe,
+    centroid_clustering,
+    chat_format,
+    conversation_trie,
+    decontaminate,
+    minhash_dedup,
+    substring_dedup,
+    token_counts,
+    topk_search,
+    toxicity,
+    url_filter,
+    warc,
+    word_bpe,
+)
 
 #: Fixed values of the url query.
 URL_RULES = [
@@ -119,6 +133,25 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.round_trip(_table(spark, folder, "pages"))
 
 
+def op11_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    cells = centroid_clustering.cells(_table(spark, folder, "embeddings"), dim=64, scale=256)
+    centroids = centroid_clustering.fit(cells, k=40, rounds=5, seed="2:")
+    return centroid_clustering.described(centroid_clustering.assigned(cells, centroids), centroids)
+
+
+def op12_word_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    tokenizer = word_bpe.read(public_tokenizers.path("word_bpe_49k.json"))
+    encoded = word_bpe.encode(_table(spark, folder, "documents"), tokenizer)
+    return word_bpe.digests(word_bpe.decode(encoded, tokenizer))
+
+
+def op13_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    convs, rows = conversation_trie.with_shared_heads(_table(spark, folder, "conversations"))
+    return conversation_trie.trie(convs, rows)
+
+
 SQL = {
     "op7_substring_dedup": r"""
         WITH d AS (
@@ -206,6 +239,75 @@ SQL = {
 }
 
 
+def _clustering_sql(k: int = 40, rounds: int = 5) -> str:
+    kept = """
+        v AS (
+            SELECT row_number() OVER () AS r, vec_id, [floor(256 * x::DOUBLE)::BIGINT for x in embedding] AS cells FROM embeddings
+            WHERE len(embedding) = 64 AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+        ), c0 AS (
+            SELECT (row_number() OVER (ORDER BY sha256('2:' || coalesce(vec_id::VARCHAR, '')), cells))::INTEGER - 1 AS cluster, cells AS centre
+            FROM v QUALIFY cluster < {k}
+        )"""
+    near = """, a{n} AS (
+            SELECT r, vec_id, any_value(cells) AS cells, arg_min(cluster, d * 1000 + cluster) AS cluster, min(d) AS distance FROM (
+                SELECT r, vec_id, cells, cluster, list_sum([(z[1] - z[2]) * (z[1] - z[2]) for z in list_zip(cells, centre)])::BIGINT AS d FROM v, c{n}
+            ) GROUP BY r, vec_id
+        )"""
+    move = """, m{n} AS (
+            SELECT cluster, list(x ORDER BY i) AS centre FROM (
+                SELECT cluster, i, (sum(x)::BIGINT - (sum(x)::BIGINT % count(*) + count(*)) % count(*)) // count(*) AS x
+                FROM (SELECT cluster, unnest(cells) AS x, generate_subscripts(cells, 1) AS i FROM a{n}) GROUP BY cluster, i
+            ) GROUP BY cluster
+        ), c{next} AS (
+            SELECT cluster, coalesce(m{n}.centre, c{n}.centre) AS centre FROM c{n} LEFT JOIN m{n} USING (cluster)
+        )"""
+    steps = "".join((near + move).format(n=n, next=n + 1) for n in range(rounds)) + near.format(n=rounds)
+    return f"""WITH {kept.format(k=k)}{steps}
+        SELECT vec_id, cluster, distance, sum(distance) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia, sum(distance) OVER ()::BIGINT AS inertia,
+            sha256(array_to_string(centre, ',')) AS centroid_sha256
+        FROM a{rounds} JOIN c{rounds} USING (cluster)
+    """
+
+
+#: CRC-32 of the decimal conversation id, bit by bit.
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, [ord(x)::BIGINT for x in string_split(conv_id::VARCHAR, '')]), lambda c, b:
+            list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+SQL["op11_centroid_clustering"] = _clustering_sql()
+SQL["op13_conversation_trie"] = f"""
+    WITH t AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+    ), o AS (
+        SELECT conv_id, list(struct_pack(role, text) ORDER BY turn NULLS FIRST, sha256(concat(strlen(role), ':', role, text))) AS turns FROM t GROUP BY conv_id
+    ), h AS (
+        SELECT o.conv_id, {_CRC.replace("conv_id", "o.conv_id")} % 6 AS h, o.turns, b.turns AS base
+        FROM o LEFT JOIN o b ON b.conv_id = o.conv_id - o.conv_id % 100
+    ), r AS (
+        SELECT conv_id, list_concat(CASE WHEN h > 0 THEN coalesce(base, [])[:h] ELSE [] END, turns[h + 1:]) AS turns FROM h
+    ), p AS (
+        SELECT conv_id, len(turns) AS length, unnest(range(0, len(turns) + 1)) AS depth, turns FROM r
+    ), k AS (
+        SELECT conv_id, length, depth, CASE WHEN depth > 0 THEN turns[:depth] ELSE [] END AS node,
+            CASE WHEN depth > 1 THEN turns[:depth - 1] WHEN depth = 1 THEN [] END AS parent, CASE WHEN depth > 0 THEN length(turns[depth].text) ELSE 0 END AS n FROM p
+    ), n AS (
+        SELECT node, any_value(parent) AS parent, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(n) AS saved,
+            sha256(coalesce(string_agg(conv_id, ',' ORDER BY conv_id) FILTER (length = depth), '')) AS ends_sha256
+        FROM k GROUP BY node, depth
+    ), c AS (
+        SELECT parent, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY parent
+    ), m AS (
+        SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN c ON c.parent = n.node
+    ), a AS (
+        SELECT DISTINCT u.conv_id AS x, u.depth AS y, m.conv_id, m.depth, m.saved, m.n_children
+        FROM k JOIN m ON m.node = k.node JOIN (SELECT k.conv_id AS via, n.* FROM k JOIN n ON n.node = k.node) u ON u.via = k.conv_id AND u.depth <= m.depth
+    ), s AS (
+        SELECT x, y, sum(saved) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves FROM a GROUP BY x, y
+    )
+    SELECT m.conv_id, m.depth::BIGINT AS depth, f.conv_id AS parent_conv_id, m.n_convs::BIGINT AS n_convs, m.n_children::BIGINT AS n_children,
+        s.n_leaves::BIGINT AS n_leaves, s.saved_tokens::BIGINT AS saved_tokens, m.ends_sha256
+    FROM m JOIN s ON s.x = m.conv_id AND s.y = m.depth LEFT JOIN n f ON m.depth > 0 AND f.node = m.parent
+"""
+
+
 def _escaped_sql() -> str:
     text = "replace(text, chr(92), repeat(chr(92), 2))"
     for control in chat_format.CONTROL:

@@ -27,7 +27,7 @@ def test_whole_documents(spark):
 
 def test_one_query_per_operator():
     names = queries.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert "pipeline" in names
 

@@ -2,6 +2,7 @@ import base64
 import hashlib
 import random
 import struct
+import time
 
 import public_tokenizers as public
 import pytest
@@ -45,6 +46,19 @@ def test_counts_equal_the_library(spark, odd_texts):
     assert ordered(token_counts.counts(odd_texts, vocabulary, public.PATTERN).collect()) == ordered(want)
 
 
+def test_long_words_equal_the_libraries():
+    """One word of a megabyte, random and all alike."""
+    library = tiktoken.Encoding("own", pat_str=public.PATTERN, mergeable_ranks=RANKS, special_tokens={})
+    other = Tokenizer.from_file(public.path("byte_bpe_50k.json"))
+    vocabulary = token_counts.read_vocabulary(public.path("byte_bpe_50k.json"))
+    rnd = random.Random(3)
+    for word in ("".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=1_000_000)), "a" * 1_000_000):
+        start = time.time()
+        assert byte_bpe.word_encoder(RANKS)(word.encode()) == library.encode_ordinary(word)
+        assert token_counts.word_counter(vocabulary)(word.encode()) == [len(other.encode(word, add_special_tokens=False).ids)]
+        assert time.time() - start < 60
+
+
 def test_whole_tokens_encode_alone():
     library = Tokenizer.from_file(public.path("byte_bpe_50k.json"))
     vocabulary = token_counts.read_vocabulary(public.path("byte_bpe_50k.json"))
