@@ -67,8 +67,9 @@ def provider_profile(claims: DataFrame) -> DataFrame:
     )
 
 
-def _with_provider_profile(claims: DataFrame) -> DataFrame:
-    profile = written(provider_profile(claims), "provider_profile").withColumnRenamed("provider_id", "__provider")
+def _with_provider_profile(claims: DataFrame, source: DataFrame | None = None) -> DataFrame:
+    """``claims`` with the figures of their provider, which are taken from ``source``."""
+    profile = written(provider_profile(claims if source is None else source), "provider_profile").withColumnRenamed("provider_id", "__provider")
     return claims.join(profile, F.col("provider_id") == F.col("__provider"), "left").drop("__provider")
 
 
@@ -115,10 +116,13 @@ def combine(flagged: DataFrame) -> DataFrame:
 
 
 def detect(claims: DataFrame, cfg: Settings) -> DataFrame:
-    """All four flags, the reasons and ``has_anomaly``."""
-    out = duplicates(claims, cfg.duplicate_keys, cfg.duplicate_days)
-    out = frequent(out, cfg.frequent_keys, cfg.frequent_days, cfg.frequent_count)
-    out = _with_provider_profile(out).withColumns(
+    """All four flags, the reasons and ``has_anomaly``. The flagged keys and the provider figures are found side by side, each from
+    the few columns of the claims that it needs, and written; then the claims meet them once."""
+    twice = dense_days(claims, cfg.duplicate_keys, cfg.duplicate_days, 1)
+    often = dense_days(claims, cfg.frequent_keys, cfg.frequent_days, cfg.frequent_count)
+    out = flag_members(claims, twice, [*cfg.duplicate_keys, "service_date"], "duplicate_flag")
+    out = flag_members(out, often, [*cfg.frequent_keys, "service_date"], "frequent_procedure_flag")
+    out = _with_provider_profile(out, claims).withColumns(
         {
             "amount_outlier_flag": _outlier(cfg.outlier_multiplier),
             "high_denial_provider_flag": _high_denial(cfg.denial_threshold),
@@ -149,7 +153,9 @@ def risk_level(points: Column, cfg: Settings) -> Column:
     return x.ladder([(points >= cfg.risk_high, "HIGH"), (points >= cfg.risk_medium, "MEDIUM")], F.lit("LOW"))
 
 
-#: What detection reads of a claim; the rest of the mart's columns is looked up for flagged claims only.
+#: What the flags depend on.
+DETECTION_INPUT = tuple("member_id provider_id claim_amount claim_status service_date diagnosis_code procedure_code".split())
+#: What the mart's detection reads of a claim; the rest of the mart's columns is looked up for flagged claims only.
 CLAIM_INPUT = tuple(
     """claim_id claim_line_id member_id provider_id payer_id claim_amount claim_status service_date submission_date
     diagnosis_code procedure_code place_of_service""".split()

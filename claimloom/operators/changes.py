@@ -31,6 +31,33 @@ def _same_key(a: str, b: str, keys: Sequence[str]) -> Column:
     return reduce(lambda p, q: p & q, [F.col(f"{a}.{k}") == F.col(f"{b}.{k}") for k in keys])
 
 
+def classified(current: DataFrame, incoming: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """One pass over both sides: (change, cur, new), a row for every key of either. ``change`` is ``new`` (no current row), ``changed``
+    (another value in one of ``columns``), ``same`` or ``absent`` (nothing came in). Changed, superseded, new and kept rows are all
+    read from it, so both inputs are sorted and joined once. Both sides must be unique on ``keys``."""
+    sides = [df.select(*[F.col(k).alias(f"__{name}_{k}") for k in keys], F.struct(*df.columns).alias(name)) for df, name in ((current, "cur"), (incoming, "new"))]
+    on = reduce(lambda p, q: p & q, [F.col(f"__cur_{k}") == F.col(f"__new_{k}") for k in keys])
+    kind = (
+        F.when(F.col("cur").isNull(), F.lit("new"))
+        .when(F.col("new").isNull(), F.lit("absent"))
+        .when(_differs("new", "cur", columns), F.lit("changed"))
+        .otherwise(F.lit("same"))
+    )
+    return sides[0].join(sides[1], on, "full").select(kind.alias("change"), "cur", "new")
+
+
+def superseded_versions(found: DataFrame, ended: Column) -> DataFrame:
+    """Current rows that a changed row replaces, closed at ``ended``; from ``classified``."""
+    return found.filter("change = 'changed'").select("cur.*", ended.alias("history_effective_end_date"))
+
+
+def snapshot(found: DataFrame) -> DataFrame:
+    """The table after the upsert: what came in, and current rows for which nothing did; from ``classified``."""
+    names = found.schema["cur"].dataType.names
+    have = found.schema["new"].dataType.names
+    return found.select(*[F.when(F.col("new").isNotNull(), F.col(f"new.{c}")).otherwise(F.col(f"cur.{c}")).alias(c) if c in have else F.col(f"cur.{c}").alias(c) for c in names])
+
+
 def changed(current: DataFrame, incoming: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Incoming rows whose key exists with another value in one of ``columns``."""
     return (

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from claimloom.functions import fields as x
 from claimloom.functions.exact import cents, count_stddev, money_avg, money_sum, rate_avg, ratio
 from claimloom.operators.ranking import value_ranks
-from claimloom.sources.scratch import cut
+from claimloom.sources.scratch import written
 
 
 def _denied() -> Column:
@@ -124,7 +124,7 @@ def same_period_growth(monthly: DataFrame) -> DataFrame:
 
 def dense_provider_rank(totals: DataFrame) -> DataFrame:
     """A provider without an amount has no rank."""
-    totals = cut(totals)
+    totals = written(totals, "totals")
     ranked = value_ranks(totals.filter("total_amount IS NOT NULL"), "total_amount", descending=True).select(
         F.col("total_amount").alias("__amount"), F.col("dense_rank").alias("provider_rank")
     )
@@ -135,7 +135,7 @@ def dense_provider_rank(totals: DataFrame) -> DataFrame:
 
 def provider_percentile(totals: DataFrame) -> DataFrame:
     """(ascending dense rank − 1) / number of providers with an amount; null without one."""
-    totals = cut(totals)
+    totals = written(totals, "totals")
     ranked = value_ranks(totals.filter("total_amount IS NOT NULL"), "total_amount", descending=False)
     count = ranked.agg(F.sum("ties")).first()[0] or 0  # one number, read from the written ranks
     levels = ranked.select(

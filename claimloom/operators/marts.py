@@ -41,6 +41,8 @@ PROVIDER_INPUT = tuple(
 DENIAL_INPUT = DENIAL_ATTRIBUTES + tuple(
     "service_date provider_sk member_sk claim_id claim_amount is_denied_claim processing_delay_days".split()
 )
+# What the denial mart reads when its distinct counts are not wanted.
+DENIAL_TOTALS_INPUT = DENIAL_ATTRIBUTES + tuple("service_date claim_amount is_denied_claim processing_delay_days".split())
 MEMBER_INPUT = tuple(
     """member_id service_date claim_status claim_amount paid_amount denied_amount is_high_value_claim
     provider_sk provider_specialty_category payer_sk diagnosis_code procedure_code
@@ -99,20 +101,26 @@ def _widened(totals: DataFrame, frames: Frames, keys: Sequence[str]) -> DataFram
     return star(totals, lookups(frames), calendar(), [*keys, *measures])
 
 
-def denial_trends(fact: DataFrame) -> DataFrame:
+def denials_within(fact: DataFrame, payer_type: str | None = None, first: Column | None = None, last: Column | None = None) -> DataFrame:
+    """Claims of one payer type whose month begins within ``first`` and ``last``. The conditions are on the service date and the
+    payer type themselves, so they reach the scans below the mart."""
+    if payer_type is not None:
+        fact = fact.filter(F.col("payer_type") == payer_type)
+    if first is not None:
+        fact = fact.filter(F.col("service_date") >= F.trunc(F.add_months(F.date_sub(first, 1), 1), "MM"))
+    if last is not None:
+        fact = fact.filter(F.col("service_date") <= F.last_day(last))
+    return fact
+
+
+def denial_trends(fact: DataFrame, *, distinct: bool = True) -> DataFrame:
     """Denials and totals per group. Totals come from all claims in one narrow aggregation; only the
     denied claims go through the distinct counts, which multiply their input. Both sides are
-    hash-partitioned by the same struct, so joining them moves no rows, and null keys compare equal."""
+    hash-partitioned by the same struct, so joining them moves no rows, and null keys compare equal.
+    Without ``distinct`` there is the first aggregation alone; ``fact`` then needs ``DENIAL_TOTALS_INPUT`` only."""
     key = F.struct(F.trunc("service_date", "MM").alias("month"), *DENIAL_ATTRIBUTES).alias("__key")
-    rows = fact.select(
-        key,
-        "is_denied_claim",
-        "claim_amount",
-        "processing_delay_days",
-        "provider_sk",
-        "member_sk",
-        "claim_id",
-    )
+    ids = ["provider_sk", "member_sk", "claim_id"] if distinct else []
+    rows = fact.select(key, "is_denied_claim", "claim_amount", "processing_delay_days", *ids)
     denied = F.col("is_denied_claim")
 
     def if_denied(column: str) -> Column:
@@ -128,12 +136,14 @@ def denial_trends(fact: DataFrame) -> DataFrame:
         F.count("*").alias("total_claims_count"),
         money_sum("claim_amount").alias("total_amount"),
     )
-    distinct = rows.filter(denied).groupBy("__key").agg(
-        F.count_distinct("provider_sk").alias("unique_providers"),
-        F.count_distinct("member_sk").alias("unique_members"),
-        F.count_distinct("claim_id").alias("unique_claims_denied"),
-    )
-    joined = totals.filter("denied_claims_count > 0").join(distinct, "__key")
+    joined = totals.filter("denied_claims_count > 0")
+    if distinct:
+        counts = rows.filter(denied).groupBy("__key").agg(
+            F.count_distinct("provider_sk").alias("unique_providers"),
+            F.count_distinct("member_sk").alias("unique_members"),
+            F.count_distinct("claim_id").alias("unique_claims_denied"),
+        )
+        joined = joined.join(counts, "__key")
     month = F.col("__key.month")
     measures = [c for c in joined.columns if c != "__key"]
     kept = joined.select(
@@ -394,22 +404,21 @@ def provider_summary(scorecard: DataFrame, provider_id, year: int, quarter: int)
     )
 
 
-def denial_by_payer(mart: DataFrame, payer_type: str, start, end) -> DataFrame:
-    """Mart rows of one payer type within a date range, with the quarterly growth of their group."""
-    growth = denial_growth(mart).select(
-        "payer_type",
-        "provider_specialty_category",
-        "service_year",
-        "service_quarter",
-        "qoq_denial_count_growth",
-        "denial_trend_category",
-    )
-    mine = mart.filter((F.col("payer_type") == payer_type) & F.col("denial_date").between(start, end))
-    keys = list(QUARTER_KEYS)
-    rows = mine.select(
-        *keys, "denied_claims_count", "denied_amount", "denial_count_rate", "denial_amount_rate"
-    )
-    return rows.join(growth.filter(F.col("payer_type") == payer_type), keys, "left")
+#: What ``denial_by_payer`` reads.
+PAYER_DENIAL_INPUT = DENIAL_TOTALS_INPUT + ("service_year", "service_quarter", "claim_status", "denied_amount")
+
+
+def denial_by_payer(fact: DataFrame, payer_type: str, start: Column, end: Column) -> DataFrame:
+    """Mart rows of one payer type within a date range, with the quarterly growth of their group. Of the claims only those of
+    the payer type are read, from the quarter before the range to the end of its last quarter."""
+    claims = denials_within(fact, payer_type)
+    day = F.col("service_date")
+    quarters = claims.filter((day >= F.add_months(F.trunc(start, "quarter"), -3)) & (day < F.add_months(F.trunc(end, "quarter"), 3)))
+    added = ["qoq_denial_count_growth", "denial_trend_category"]
+    growth = denial_growth(quarterly_denials(quarters)).select(*QUARTER_KEYS, *added)
+    mart = denial_trends(denials_within(claims, None, start, end), distinct=False)
+    rows = mart.select(*QUARTER_KEYS, "denied_claims_count", "denied_amount", "denial_count_rate", "denial_amount_rate")
+    return rows.join(growth, list(QUARTER_KEYS), "left")
 
 
 def executive_summary(fact: DataFrame) -> DataFrame:

@@ -1,9 +1,10 @@
-"""Ranks over groups that do not fit one task.
+"""Ranks and running totals over groups that do not fit one task.
 
 A window sorts each of its groups in a single task, which fails once a group (or the whole table)
-is large. Here the rows are range-sorted over all tasks and written once; a row's rank is then its
-place within its sorted slice plus the rows of the group in earlier slices. Only the slice counts,
-one row per slice and group, pass through a window of their own.
+is large. Here the rows are range-sorted over all tasks, and written once with their slice number and the
+running totals within the slice. What the group has in earlier slices comes from a small second table with one row per
+slice and group, which is written too, so that Spark joins it by its real size. All ranks that follow the same
+order share the sort, whatever their groups.
 """
 
 from __future__ import annotations
@@ -16,41 +17,54 @@ from pyspark.sql import functions as F
 
 from claimloom.sources.scratch import written
 
-_GROUP = "__group"
 _SLICE = "__slice"
 _BEFORE = "__before"
-_LOCAL = "__local"
+_GROUP = "__group"
 
 
 def with_row_numbers(df: DataFrame, ranks: Mapping[str, Sequence[str]], order: Sequence[Column]) -> DataFrame:
-    """``row_number`` per group for each name in ``ranks``. ``order`` must end in a unique column."""
-    rows = df
-    for name, by in ranks.items():
-        rows = _sliced(rows, name, by, order)
-    return rows
+    """``row_number`` per group for each name in ``ranks``: one sort for all. ``order`` must end in a unique column.
+
+    The sort follows ``order`` alone, so a slice holds rows of many groups and the counts have a row for each group of a
+    slice: right for few large groups. ``with_row_number`` is for groups of any number and size."""
+    return _running(df, {name: (by, F.lit(1)) for name, by in ranks.items()}, order)
 
 
 def with_row_number(df: DataFrame, name: str, by: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    return with_row_numbers(df, {name: by}, order)
+    """``row_number`` per group. Rows are sorted by group first, so that a group lies in as few slices as it can."""
+    return _running(df, {name: (by, F.lit(1))}, order, lead=[F.col(c) for c in by])
 
 
-def _sliced(df: DataFrame, name: str, by: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def _group(by: Sequence[str]) -> Column:
     # A struct compares null keys as equal, so groups with null keys need no special join.
-    group = F.struct(*[F.col(c) for c in by]) if by else F.lit(0)
-    ordered = df.withColumn(_GROUP, group).orderBy(F.col(_GROUP), *order)
-    # The slice number is written with the sorted copy: reading it again after a lost executor gives the
-    # same slices, and the counts read two columns only.
-    placed = written(ordered.withColumn(_SLICE, F.spark_partition_id()), "sorted")
-    counts = placed.groupBy(_GROUP, _SLICE).agg(F.count("*").alias("__n"))
-    earlier = Window.partitionBy(_GROUP).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(_GROUP, _SLICE, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias(_BEFORE))
-    within = Window.partitionBy(_GROUP, _SLICE).orderBy(*order)
-    return (
-        placed.withColumn(_LOCAL, F.row_number().over(within))
-        .join(offsets, [_GROUP, _SLICE])
-        .withColumn(name, (F.col(_BEFORE) + F.col(_LOCAL)).cast("long"))
-        .drop(_GROUP, _SLICE, _LOCAL, _BEFORE)
-    )
+    return F.struct(*[F.col(c) for c in by]) if by else F.struct(F.lit(0).alias("all"))
+
+
+def _running(
+    df: DataFrame, totals: Mapping[str, tuple[Sequence[str], Column]], order: Sequence[Column], lead: Sequence[Column] = ()
+) -> DataFrame:
+    """For each name the sum of its amount over the row and those before it in its group."""
+    rows = df.orderBy(*lead, *order).withColumn(_SLICE, F.spark_partition_id())
+    # Every window below asks for the rows of a slice together: one exchange for all, a slice a task.
+    rows = rows.repartitionById(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.col(_SLICE))
+    for name, (by, amount) in totals.items():
+        inside = Window.partitionBy(_SLICE, *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        rows = rows.withColumn(name, F.sum(amount.cast("long")).over(inside))
+    # The slice number is written with the rows: reading it again after a lost executor gives the same slices.
+    rows = written(rows, "sorted")
+    parts = None
+    for name, (by, _) in totals.items():
+        group = F.to_json(_group(by), {"ignoreNullFields": "false"})
+        part = rows.groupBy(_SLICE, group.alias(_GROUP)).agg(F.max(name).alias("__n")).withColumn("__name", F.lit(name))
+        parts = part if parts is None else parts.unionByName(part)
+    earlier = Window.partitionBy("__name", _GROUP).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    before = parts.withColumn(_BEFORE, F.sum("__n").over(earlier)).filter(F.col(_BEFORE) > 0)
+    before = written(before.select("__name", _SLICE, _GROUP, _BEFORE), "earlier")
+    for name, (by, _) in totals.items():
+        mine = before.filter(F.col("__name") == name).drop("__name")
+        rows = rows.withColumn(_GROUP, F.to_json(_group(by), {"ignoreNullFields": "false"})).join(mine, [_SLICE, _GROUP], "left")
+        rows = rows.withColumn(name, F.col(name) + F.coalesce(_BEFORE, F.lit(0))).drop(_GROUP, _BEFORE)
+    return rows.drop(_SLICE)
 
 
 def value_ranks(df: DataFrame, value: str, *, descending: bool) -> DataFrame:
@@ -59,26 +73,8 @@ def value_ranks(df: DataFrame, value: str, *, descending: bool) -> DataFrame:
     is one row here."""
     folded = df.groupBy(value).agg(F.count("*").alias("ties"))
     order = F.col(value).desc() if descending else F.col(value).asc()
-    placed = with_row_number(folded, "dense_rank", [], [order])
-    return _with_running_total(placed, "dense_rank", "ties")
-
-
-def _with_running_total(placed: DataFrame, position: str, amount: str, width: int = 4096) -> DataFrame:
-    """``rank`` = 1 + the amounts at earlier positions. Positions are dense, so blocks of ``width``
-    rows bound the size of every window group; block totals are folded the same way when read."""
-    block = placed.withColumn("__block", F.floor((F.col(position) - 1) / width))
-    totals = block.groupBy("__block").agg(F.sum(amount).alias("__t"))
-    before = Window.orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        F.col("__block").alias("__b"), F.coalesce(F.sum("__t").over(before), F.lit(0)).alias(_BEFORE)
-    )
-    inside = Window.partitionBy("__block").orderBy(position).rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        block.withColumn(_LOCAL, F.coalesce(F.sum(amount).over(inside), F.lit(0)))
-        .join(offsets, F.col("__block") == F.col("__b"))
-        .withColumn("rank", (F.col(_BEFORE) + F.col(_LOCAL) + 1).cast("long"))
-        .drop("__block", "__b", _LOCAL, _BEFORE)
-    )
+    ranked = _running(folded, {"dense_rank": ([], F.lit(1)), "rank": ([], F.col("ties"))}, [order])
+    return ranked.withColumn("rank", F.col("rank") - F.col("ties") + 1)
 
 
 def percentiles(df: DataFrame, value: str, points: Sequence[float]) -> DataFrame:

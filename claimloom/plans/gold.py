@@ -121,7 +121,12 @@ def provider_mart(t, period=None):
 
 
 def denial_mart(t):
-    return marts.denial_trends(written(t.fact(marts.DENIAL_INPUT), "denial-input"))
+    return marts.denial_trends(t.fact(marts.DENIAL_INPUT))
+
+
+def denial_totals(t):
+    """The mart without its distinct counts."""
+    return marts.denial_trends(t.fact(marts.DENIAL_TOTALS_INPUT), distinct=False)
 
 
 def member_mart(t, period=None):
@@ -130,8 +135,7 @@ def member_mart(t, period=None):
 
 
 def anomaly_mart(t):
-    claims = written(t.claims(anomaly.CLAIM_INPUT), "anomaly-input")
-    return anomaly.claim_anomalies(claims, t.cfg, lambda rows, columns: t.fact(columns, rows))
+    return anomaly.claim_anomalies(t.claims(anomaly.CLAIM_INPUT), t.cfg, lambda rows, columns: t.fact(columns, rows))
 
 
 @query("a01_provider_performance", PROVIDER_MART)
@@ -250,7 +254,7 @@ def _(t):
 )
 def _(t):
     start, end = F.lit("1999-01-01").cast("date"), F.lit("1999-06-30").cast("date")
-    return marts.denial_by_payer(denial_mart(t), "Government", start, end)
+    return marts.denial_by_payer(t.fact(marts.PAYER_DENIAL_INPUT), "Government", start, end)
 
 
 @query(
@@ -284,7 +288,7 @@ def _(t):
         denied_claims_count, denied_amount, denial_count_rate FROM ({DENIAL_MART})""",
 )
 def _(t):
-    return marts.denial_monthly_view(denial_mart(t))
+    return marts.denial_monthly_view(denial_totals(t))
 
 
 @query(
@@ -329,7 +333,7 @@ def _(t):
     _insight("payer_type", DENIAL_MART, "denied_claims_count", "denied_amount", "denial_count_rate"),
 )
 def _(t):
-    return marts.insight(denial_mart(t), "payer_type", "denied_claims_count", "denied_amount", "denial_count_rate")
+    return marts.insight(denial_totals(t), "payer_type", "denied_claims_count", "denied_amount", "denial_count_rate")
 
 
 @query(
@@ -458,4 +462,4 @@ def _(t):
 
 @query("x05_combined", f"SELECT {_X}, anomaly_reasons, has_anomaly FROM ({DETECTED})")
 def _(t):
-    return anomaly.detect(written(t.fact(_X_INPUT), "anomaly-input"), t.cfg).select(*_X.split(", "), "anomaly_reasons", "has_anomaly")
+    return anomaly.detect(t.fact(_X_INPUT), t.cfg).select(*_X.split(", "), "anomaly_reasons", "has_anomaly")

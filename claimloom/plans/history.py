@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from claimloom.operators import changes, dimensions
 from claimloom.functions import fields as x
 from claimloom.plans.registry import query
+from claimloom.sources import scratch
 from claimloom.plans.sqltext import AS_OF, OPEN_END, PROVIDER_HASH, SEASON, key, n_if
 
 KEYS = list(changes.CLAIM_KEYS)
@@ -16,9 +17,14 @@ def _(t):
     return t.unique_claims(CURRENT)
 
 
-def _incoming(t):
-    """A later delivery of some claims: some changed, some new."""
-    current = t.unique_claims(CURRENT)
+def _delivered(t):
+    """Current claims, read and deduplicated once, and a later delivery of some of them."""
+    current = scratch.written(t.unique_claims(CURRENT), "current")
+    return current, _incoming(current)
+
+
+def _incoming(current):
+    """Some claims again: some changed, some under a new key."""
     number = F.substring("claim_id", 2, 18).cast("long")
     picked = current.filter(number % 3 == 0)
     return picked.withColumns(
@@ -44,7 +50,7 @@ _TRACKED = ["claim_status", "claim_amount", "service_date"]
 
 @query("d02_changed_rows", f"WITH {_CHANGED} SELECT * FROM changed")
 def _(t):
-    return changes.changed(t.unique_claims(CURRENT), _incoming(t), KEYS, _TRACKED)
+    return changes.classified(*_delivered(t), KEYS, _TRACKED).filter("change = 'changed'").select("new.*")
 
 
 @query(
@@ -53,9 +59,7 @@ def _(t):
         FROM unique_claims c JOIN changed n ON n.claim_id = c.claim_id AND n.claim_line_id = c.claim_line_id""",
 )
 def _(t):
-    current = t.unique_claims(CURRENT)
-    found = changes.changed(current, _incoming(t), KEYS, _TRACKED)
-    return changes.superseded(current, found, KEYS, t.as_of)
+    return changes.superseded_versions(changes.classified(*_delivered(t), KEYS, _TRACKED), t.as_of)
 
 
 @query(
@@ -65,7 +69,7 @@ def _(t):
         WHERE n.claim_id IS NULL""",
 )
 def _(t):
-    return changes.upsert(t.unique_claims(CURRENT), _incoming(t), KEYS)
+    return changes.snapshot(changes.classified(*_delivered(t), KEYS, _TRACKED))
 
 
 LATEST = """SELECT * FROM status_events QUALIFY row_number() OVER (PARTITION BY claim_id, claim_line_id

@@ -176,10 +176,6 @@ def _(t):
     return by_specialty.unionByName(by_region).unionByName(kpis.benchmark(totals, "network_status"))
 
 
-_FLAG_INPUT = """claim_id claim_line_id claim_line_key claim_amount provider_id member_id diagnosis_code
-    procedure_code service_date claim_status""".split()
-
-
 def _anomaly_rate(key: str) -> str:
     return f"""SELECT {key}, COUNT(*) AS total_claims, {n_if('has_anomaly')} AS anomalies,
         {ratio(n_if('has_anomaly'), 'COUNT(*)')} AS anomaly_rate FROM ({DETECTED}) GROUP BY {key}"""
@@ -187,12 +183,12 @@ def _anomaly_rate(key: str) -> str:
 
 @query("m11_anomaly_rate_provider", _anomaly_rate("provider_id"))
 def _(t):
-    return kpis.anomaly_rate(anomaly.detect(written(t.fact(_FLAG_INPUT), "anomaly-input"), t.cfg), "provider_id")
+    return kpis.anomaly_rate(anomaly.detect(t.claims(anomaly.DETECTION_INPUT), t.cfg), "provider_id")
 
 
 @query("m11_anomaly_rate_member", _anomaly_rate("member_id"))
 def _(t):
-    return kpis.anomaly_rate(anomaly.detect(written(t.fact(_FLAG_INPUT), "anomaly-input"), t.cfg), "member_id")
+    return kpis.anomaly_rate(anomaly.detect(t.claims(anomaly.DETECTION_INPUT), t.cfg), "member_id")
 
 
 @query(
