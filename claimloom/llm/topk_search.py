@@ -7,7 +7,7 @@ coordinates of the query bound those of any vector that close), else by length;
 in 64-bit integers. Blocks of queries meet only the buckets that some query of the block can still use.
 
 Rows with a null vector or id, or with null or non-finite components take no part, nor do pairs of different dimension. Candidates are
-all rows but those with the query's id; equal query rows are answered once. Ties go to the smaller id. Products must fit 64 bits.
+all rows but those with the query's id; every query row is answered, equal ones too. Ties go to the smaller id. Products must fit 64 bits.
 """
 
 from __future__ import annotations
@@ -162,7 +162,7 @@ def top(vectors: DataFrame, is_query, k: int = 5, scale: int = 256) -> DataFrame
         return placed.mapInArrow(_blocks(size), _PACKED)
 
     buckets = scratch.written(blocks(rows, BUCKET), "buckets")
-    asked = blocks(rows.filter(is_query).distinct(), QUERIES)
+    asked = blocks(rows.filter(is_query), QUERIES)
     asked = scratch.written(
         asked.select(F.col("part").alias("q_part"), "dim", F.col("longest").alias("q_longest"), F.col("n").alias("q_n"), F.col("ids").alias("q_ids"), F.col("cells").alias("q_cells")),
         "queries",
