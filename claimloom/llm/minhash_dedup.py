@@ -9,15 +9,17 @@ pair at the threshold shares none with a chance below ``MISS``.
 Documents with equal sets form one class (by a 128-bit fingerprint) and take part once, so copies cost
 nothing after the first step. Links between classes are found without listing pairs of a bucket:
 
-1. every class is compared with the hub of each of its buckets, the class that shares most buckets with
-   others, on the full sets;
-2. classes that are connected through buckets form a cluster. Where a cluster still holds more than one
-   component, the classes outside its largest component are compared with all others of the cluster, in
-   blocks of ``BLOCK`` classes. A block compares signatures, then full sets, and returns links between
-   different components only, at most one less than it has classes.
-
-So a pair that shares a bucket is either in one component or known not to be linked. The signature test of
-step 2 lets pairs pass whose estimate is within ``SLACK`` of the threshold (over five deviations).
+1. every class is compared with one hub, the class among the hubs of its buckets that shares most buckets
+   with others, on the full sets; the links contract the graph of buckets;
+2. what is left of it, a class and the hub of a bucket in different components, is compared on the full
+   sets, and its links contract the graph again;
+3. components that are still connected through buckets form a cluster. The classes outside a cluster's largest
+   component are compared with all others of the cluster, in blocks bounded by classes (``BLOCK``) and by
+   bytes (``BLOCK_BYTES``). A block counts the shared shingles of all its pairs by products of incidence
+   matrices, so no pair is left to an estimate, and returns links between different components only, at
+   most one less than it has classes.
+
+So a pair that shares a bucket is either in one component or known not to be linked.
 
 Nulls: a null or blank text has the empty set and links with nothing; a null id is an id like any other,
 and the smallest id of a component is taken over the ids that are not null. Equal rows are one class.
@@ -38,8 +40,10 @@ from claimloom.sources import scratch
 SHINGLE = 5
 MISS = 1e-6
 COORDINATES = 128
-SLACK = 0.18
 BLOCK = 512
+BLOCK_BYTES = 32 << 20
+#: Shingles whose incidence is held as one matrix.
+_WIDE = 4096
 _CHUNK = 1 << 16
 
 
@@ -124,22 +128,14 @@ def _rows(count: int, width: int):
     return shared.frugal(run)
 
 
-def _sets(coordinates: int):
-    def run(batches):
-        for batch in batches:
-            for part in shared.pieces(batch, "text"):
-                sets = [s for s in shingle_sets(part) if len(s)]
-                short = (signatures(sets, coordinates) & np.uint32(255)).astype(np.uint8)
-                yield pa.record_batch(
-                    [
-                        pa.array([_print(s) for s in sets], pa.binary()),
-                        pa.array([x.tobytes() for x in short], pa.binary()),
-                        pa.array([s.tobytes() for s in sets], pa.binary()),
-                    ],
-                    names=["print", "short", "shingles"],
-                )
-
-    return shared.frugal(run)
+def _sets(batches):
+    for batch in batches:
+        for part in shared.pieces(batch, "text"):
+            sets = [s for s in shingle_sets(part) if len(s)]
+            yield pa.record_batch(
+                [pa.array([_print(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
+                names=["print", "shingles"],
+            )
 
 
 def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -161,6 +157,32 @@ def _linked(percent: int):
     return shared.frugal(run)
 
 
+def common(ones: list[np.ndarray], others: list[np.ndarray]) -> np.ndarray:
+    """For every pair of a set of ``ones`` and one of ``others`` how many values they share."""
+    out = np.zeros((len(ones), len(others)), np.int64)
+    if not len(ones) or not len(others):
+        return out
+    both = np.intersect1d(np.concatenate(ones), np.concatenate(others))
+
+    def placed(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        value = np.concatenate(sets)
+        at = np.searchsorted(both, value)
+        good = np.flatnonzero(both[np.minimum(at, len(both) - 1)] == value) if len(both) else np.zeros(0, np.int64)
+        good = good[np.argsort(at[good], kind="stable")]
+        return at[good], np.repeat(np.arange(len(sets)), [len(s) for s in sets])[good]
+
+    (one, one_owner), (other, other_owner) = placed(ones), placed(others)
+    for first in range(0, len(both), _WIDE):
+        sides = []
+        for at, owner, n in ((one, one_owner, len(ones)), (other, other_owner, len(others))):
+            a, b = np.searchsorted(at, [first, first + _WIDE])
+            side = np.zeros((n, min(_WIDE, len(both) - first)), np.float32)
+            side[owner[a:b], at[a:b] - first] = 1
+            sides.append(side)
+        out += (sides[0] @ sides[1].T).astype(np.int64)
+    return out
+
+
 def _block_links(percent: int):
     """Links between components among one block of classes outside the largest component (rows) and
     one block of the cluster (columns)."""
@@ -168,7 +190,6 @@ def _block_links(percent: int):
     def run(table: pa.Table) -> pa.Table:
         prints, labels = table.column("print").to_pylist(), table.column("label").to_pylist()
         sets = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
-        short = np.frombuffer(b"".join(table.column("short").to_pylist()), np.uint8).reshape(len(prints), -1)
         row = np.flatnonzero(table.column("as_row").to_numpy())
         columns = np.flatnonzero(~table.column("as_row").to_numpy())
         parent: dict[bytes, bytes] = {}
@@ -179,21 +200,22 @@ def _block_links(percent: int):
                 x = parent[x]
             return x
 
+        both = common([sets[a] for a in row], [sets[b] for b in columns])
+        sizes = np.array([len(x) for x in sets], np.int64)
         found = []
-        for a in row:
-            close = columns[(short[columns] == short[a]).mean(axis=1) >= percent / 100 - SLACK]
-            for b in close:
-                x, y = root(labels[a]), root(labels[b])
-                if x != y and _similar(sets[a], sets[b], percent):
-                    parent[x] = y
-                    found.append((prints[a], prints[b]))
+        for i, j in np.argwhere(100 * both >= percent * (sizes[row][:, None] + sizes[columns][None, :] - both)):
+            a, b = row[i], columns[j]
+            x, y = root(labels[a]), root(labels[b])
+            if x != y:
+                parent[x] = y
+                found.append((prints[a], prints[b]))
         return pa.table({"print": pa.array([x for x, _ in found], pa.binary()), "hub": pa.array([y for _, y in found], pa.binary())})
 
     return run
 
 
 def _digest():
-    return F.md5(F.coalesce("text", F.lit(""))).alias("digest")
+    return F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest")
 
 
 def groups(docs: DataFrame, percent: int = 80) -> DataFrame:
@@ -211,45 +233,67 @@ def _labelled(docs: DataFrame, percent: int) -> DataFrame:
     rows = scratch.written(
         docs.mapInArrow(_rows(count, width), f"doc_id {kind}, digest string, n_shingles long, print binary, bands array<long>"), "prints"
     )
-    classes = rows.filter("n_shingles > 0").groupBy("print").agg(F.min("doc_id").alias("first_id"), F.first("bands").alias("bands"))
+    classes = rows.filter("n_shingles > 0").groupBy("print")
+    classes = classes.agg(F.min("doc_id").alias("first_id"), F.first("bands").alias("bands"), F.first("n_shingles").alias("size"))
     classes = scratch.written(classes, "classes")
     member = classes.select("print", F.explode("bands").alias("band"))
     busy = member.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1")
     member = scratch.written(member.join(busy, "band"), "buckets")
     rank = member.groupBy("print").agg(F.sum("size").alias("rank"))
     rank = member.select("print", "band").join(rank, "print")
-    hubs = rank.groupBy("band").agg(F.max(F.struct("rank", "print")).alias("hub")).select("band", F.col("hub.print").alias("hub"))
-    edges = member.select("print", "band").join(hubs, "band").filter("print <> hub").select("print", "hub").distinct()
-    edges = scratch.written(edges, "hubs")
+    hubs = rank.groupBy("band").agg(F.max(F.struct("rank", "print")).alias("hub")).select("band", "hub")
+    edges = member.select("print", "band").join(hubs, "band").filter("print <> hub.print")
+    edges = scratch.written(edges.select("print", "hub").distinct(), "hubs")
+    nearest = edges.groupBy("print").agg(F.max("hub").alias("hub")).select("print", F.col("hub.print").alias("hub"))
+    edges = edges.select("print", F.col("hub.print").alias("hub"))
 
     wanted = classes.join(member.select("print").distinct(), "print", "left_semi")
     ids = wanted.select(F.col("first_id").alias("wanted_id"))
     texts = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi")
-    full = texts.mapInArrow(_sets(count * width), "print binary, short binary, shingles binary")
+    full = texts.mapInArrow(shared.frugal(_sets), "print binary, shingles binary")
     full = scratch.written(full.join(wanted.select("print"), "print", "left_semi").dropDuplicates(["print"]), "sets")
 
-    sides = edges.join(full.select("print", F.col("shingles").alias("one")), "print")
-    sides = sides.join(full.select(F.col("print").alias("hub"), F.col("shingles").alias("two")), "hub")
-    links = scratch.written(sides.select("print", "hub", "one", "two").mapInArrow(_linked(percent), "print binary, hub binary"), "links")
-    clusters = shared.components(edges, "print", "hub").select(F.col("node").alias("print"), F.col("label").alias("cluster"))
-    labels = shared.components(links, "print", "hub").select(F.col("node").alias("print"), "label")
-    placed = clusters.join(labels, "print", "left").withColumn("label", F.coalesce("label", "print"))
-    placed = scratch.written(placed, "placed")
-    parts = placed.groupBy("cluster", "label").agg(F.count("*").alias("n"))
-    split = parts.groupBy("cluster").agg(F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("most"), F.count("*").alias("parts"))
-    split = split.filter("parts > 1 and n > 2").select("cluster", "n", F.col("most.label").alias("most"), F.col("most.n").alias("most_n"))
+    def verified(pairs: DataFrame) -> DataFrame:
+        sides = pairs.join(full.select("print", F.col("shingles").alias("one")), "print")
+        sides = sides.join(full.select(F.col("print").alias("hub"), F.col("shingles").alias("two")), "hub")
+        return scratch.written(sides.select("print", "hub", "one", "two").mapInArrow(_linked(percent), "print binary, hub binary"), "links")
+
+    labels = shared.components(verified(nearest), "print", "hub")
+    # Of the other edges only those between components are looked at; their ends stay classes, as a link needs two sets.
+    ends = edges.join(nearest, ["print", "hub"], "left_anti")
+    for end, label in (("print", "one"), ("hub", "two")):
+        found = labels.select(F.col("node").alias(end), F.col("label").alias(label))
+        ends = ends.join(found, end, "left").withColumn(label, F.coalesce(label, end))
+    ends = ends.filter("one <> two").select("print", "hub")
+    links = shared.contracted(verified(ends), labels, "print", "hub")
+    labels = scratch.written(shared.followed(labels, shared.components(links, "print", "hub")), "labels")
+
+    # Clusters are made of components; every component of a cluster is one node.
+    open_edges = scratch.written(shared.contracted(edges, labels, "print", "hub"), "open_edges")
+    clusters = shared.components(open_edges, "print", "hub").select(F.col("node").alias("label"), F.col("label").alias("cluster"))
+    placed = classes.select("print", "size").join(labels.select(F.col("node").alias("print"), "label"), "print", "left")
+    placed = placed.withColumn("label", F.coalesce("label", "print")).join(clusters, "label")
+    placed = scratch.written(placed.select("cluster", "print", "label", (F.col("size") * 8).alias("bytes")), "placed")
+    parts = placed.groupBy("cluster", "label").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+    split = parts.groupBy("cluster").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), F.max(F.struct("n", "bytes", "label")).alias("most"))
+    blocks = lambda n, size: F.greatest(F.ceil(n / BLOCK), F.ceil(size / BLOCK_BYTES))
+    split = split.filter("n > 2").select(
+        "cluster",
+        F.col("most.label").alias("most"),
+        blocks(F.col("n"), F.col("bytes")).alias("all_blocks"),
+        blocks(F.col("n") - F.col("most.n"), F.col("bytes") - F.col("most.bytes")).alias("out_blocks"),
+    )
     open_ = scratch.written(placed.join(split, "cluster"), "open")
-    blocks = lambda size: F.ceil(size / BLOCK)
-    mine = F.pmod(F.xxhash64("print"), blocks(F.col("n")))
-    outside = F.pmod(F.xxhash64("print"), blocks(F.col("n") - F.col("most_n")))
-    every = F.explode(F.sequence(F.lit(0).cast("long"), blocks(F.col("n")) - 1))
-    others = F.explode(F.sequence(F.lit(0).cast("long"), blocks(F.col("n") - F.col("most_n")) - 1))
+    mine = F.pmod(F.xxhash64("print"), F.col("all_blocks"))
+    outside = F.pmod(F.xxhash64("print"), F.col("out_blocks"))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("all_blocks") - 1))
+    others = F.explode(F.sequence(F.lit(0).cast("long"), F.col("out_blocks") - 1))
     as_rows = open_.filter("label <> most").select("cluster", "print", "label", outside.alias("i"), every.alias("j"), F.lit(True).alias("as_row"))
     as_columns = open_.select("cluster", "print", "label", others.alias("i"), mine.alias("j"), F.lit(False).alias("as_row"))
     blocked = as_rows.union(as_columns).join(full, "print")
     more = blocked.groupBy("cluster", "i", "j").applyInArrow(_block_links(percent), "print binary, hub binary")
-    more = scratch.written(more, "links")
-    final = shared.components(links.union(more), "print", "hub").select(F.col("node").alias("print"), "label")
+    more = shared.contracted(scratch.written(more, "links"), labels, "print", "hub")
+    final = shared.followed(labels, shared.components(more, "print", "hub")).select(F.col("node").alias("print"), "label")
     known = classes.select("print", "first_id").join(final, "print", "left").withColumn("label", F.coalesce("label", "print"))
     least = known.groupBy("label").agg(F.min("first_id").alias("component_id"))
     known = known.join(least, "label").select("print", "component_id", "label")

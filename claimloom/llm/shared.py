@@ -5,7 +5,6 @@ from __future__ import annotations
 
 import ctypes
 import gc
-import hashlib
 
 import numpy as np
 import pyarrow as pa
@@ -17,10 +16,13 @@ from claimloom.sources import scratch
 
 #: Bytes of text that a task works on at once; a longer text is one piece by itself.
 PIECE = 4 << 20
-#: Longest stretch of bytes that is hashed with one table of powers.
-SPAN = 1 << 20
+#: Stretches of seven bytes that are named at once; a longer word is one step by itself.
+SPAN = 1 << 18
+#: Words are named by polynomials over the field of this many elements, taken at the point.
+PRIME = (1 << 61) - 1
 
-_BASE = 0x9E3779B97F4A7C15 | 1
+_POINT = 0x0D1B54A32D192ED0
+_BASE = 0x9E3779B97F4A7C15
 _ODD1, _ODD2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _cache: dict[str, np.ndarray] = {}
 
@@ -104,59 +106,110 @@ def words(data: np.ndarray, places: np.ndarray, blank: np.ndarray) -> tuple[np.n
     return starts, np.flatnonzero(inside & ~after) + 1, np.searchsorted(starts, places)
 
 
-def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    if not _cache:
-        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
-            powers = np.full(SPAN + 1, base, np.uint64)
-            powers[0] = 1
-            _cache[name] = np.cumprod(powers, dtype=np.uint64)
-        letters = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
-        _cache["letters"], _cache["folded"] = letters, letters.copy()
-        _cache["folded"][65:91] = letters[97:123]
-    return _cache["up"], _cache["down"], _cache["letters"], _cache["folded"]
+def _times(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """x * y modulo ``PRIME`` for numbers below it: products of halves, folded at bit 61."""
+    low, half = np.uint64(0xFFFFFFFF), np.uint64(32)
+    x0, x1, y0, y1 = x & low, x >> half, y & low, y >> half
+    middle = x0 * y1 + x1 * y0
+    # The product is x1*y1*2^64 + middle*2^32 + x0*y0, and 2^61 counts as 1.
+    small = x0 * y0
+    out = (x1 * y1 << np.uint64(3)) + (middle >> np.uint64(29)) + ((middle & np.uint64((1 << 29) - 1)) << half)
+    out = _least(out) + _least(small)
+    return _least(out)
+
+
+def _least(x: np.ndarray) -> np.ndarray:
+    """Numbers below 2^64 modulo ``PRIME``."""
+    prime = np.uint64(PRIME)
+    x = (x & prime) + (x >> np.uint64(61))
+    return np.where(x >= prime, x - prime, x)
+
+
+def _powers(count: int) -> np.ndarray:
+    """The first ``count`` powers of the point at which words are evaluated; they are kept for the next call."""
+    powers = _cache.get("powers", np.ones(1, np.uint64))
+    if len(powers) < count:
+        step = np.full(1, _POINT, np.uint64)
+        for _ in range(len(powers).bit_length() - 1):
+            step = _times(step, step)
+        while len(powers) < count:
+            powers = np.concatenate([powers, _times(powers, step)])
+            step = _times(step, step)
+        _cache["powers"] = powers
+    return powers
 
 
 def names(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = False) -> np.ndarray:
     """A 64-bit name for every word; equal words have equal names. ``fold``: A-Z count as a-z.
 
-    A word's name is a polynomial of its bytes, taken from running sums, so no word is looked at by
-    itself. Words above a megabyte get a cryptographic digest."""
-    up, down, letters, folded = _tables()
-    table, out, at = folded if fold else letters, np.empty(len(starts), np.uint64), 0
+    One rule for words of all lengths: seven bytes at a time are the coefficients of a polynomial modulo the prime
+    2^61 - 1, and its value at a fixed point is mixed with the length. Over a prime field two words of n bytes agree
+    at no more than n / 7 points; words of up to seven bytes never share a value."""
+    out, at = np.empty(len(starts), np.uint64), 0
+    if not len(starts):
+        return out
+    if fold:
+        data = _lower_bytes()[data]
+    eights = np.ndarray(len(data), "<u8", np.append(data, np.zeros(7, np.uint8)), strides=(1,))
+    seven = np.uint64((1 << 56) - 1)
+    sizes = ends - starts
+    chunks = np.cumsum((sizes + 6) // 7)
     while at < len(starts):
-        first = starts[at]
-        end = int(np.searchsorted(ends, first + SPAN, "right"))
-        if end <= at:
-            word = data[first : ends[at]].tobytes()
-            out[at] = int.from_bytes(hashlib.blake2b(word.lower() if fold else word, digest_size=8).digest(), "little")
-            at += 1
-            continue
-        part = data[first : ends[end - 1]]
-        sums = np.zeros(len(part) + 1, np.uint64)
-        np.cumsum(table[part] * up[: len(part)], out=sums[1:])
-        s, e = starts[at:end] - first, ends[at:end] - first
-        out[at:end] = mix((sums[e] - sums[s]) * down[s])
+        before = chunks[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(chunks, before + SPAN, "right")))
+        s, size = starts[at:end], sizes[at:end]
+        values = eights[s] & seven
+        short = size < 7
+        values[short] &= (np.uint64(1) << (np.uint64(8) * size[short].astype(np.uint64))) - np.uint64(1)
+        long = np.flatnonzero(size > 7)
+        if len(long):
+            each = (size[long] + 6) // 7 - 1
+            heads = np.cumsum(each) - each
+            place = np.arange(int(each.sum())) - np.repeat(heads, each) + 1
+            more = eights[np.repeat(s[long], each) + 7 * place] & seven
+            rest = np.repeat(size[long], each) - 7 * place
+            tail = rest < 7
+            more[tail] &= (np.uint64(1) << (np.uint64(8) * rest[tail].astype(np.uint64))) - np.uint64(1)
+            more = _times(more, _powers(int(each.max()) + 1)[place])
+            # Halves are summed apart, so that no sum leaves 64 bits.
+            high = np.add.reduceat(more >> np.uint64(32), heads)
+            low = np.add.reduceat(more & np.uint64(0xFFFFFFFF), heads)
+            more = _least(_times(_least(high), np.uint64(1 << 32)) + _least(low))
+            values[long] = _least(values[long] + more)
+        out[at:end] = mix(mix(values + np.uint64(_BASE)) + size.astype(np.uint64))
         at = end
     return out
 
 
+def _lower_bytes() -> np.ndarray:
+    table = np.arange(256, dtype=np.uint8)
+    table[65:91] += 32
+    return table
+
+
 def rolled(values: np.ndarray, width: int) -> np.ndarray:
-    """The name of every ``width`` consecutive values (none, if there are fewer)."""
+    """The name of every ``width`` consecutive values (none, if there are fewer). Stretches are joined two and two; each
+    left one is stirred first, so that no algebra of the places survives."""
     n = len(values) - width + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    out, done, power, size, step = None, 0, values, 1, _BASE
+    out, done, power, size = None, 0, values, 1
+
+    def stirred(x: np.ndarray, round_: int) -> np.ndarray:
+        x = (x ^ (x >> np.uint64(32))) * _ODD1
+        return (x ^ (x >> np.uint64(29))) * _ODD2 + np.uint64(round_)
+
     while True:
         if width & size:
             if out is None:
                 out, done = power[:n], size
             else:
-                out = out * np.uint64(step) + power[done : done + n]
+                out = stirred(out, 2 * size + 1) + power[done : done + n]
                 done += size
         if done == width:
             return mix(out)
-        power = power[: len(power) - size] * np.uint64(step) + power[size:]
-        size, step = size * 2, step * step % (1 << 64)
+        power = stirred(power[: len(power) - size], 2 * size) + power[size:]
+        size *= 2
 
 
 def lists(values: np.ndarray, counts: np.ndarray) -> pa.ListArray:
@@ -177,28 +230,53 @@ def row_lists(column: pa.Array) -> list[np.ndarray]:
 
 
 def components(edges: DataFrame, left: str, right: str) -> DataFrame:
-    """Columns ``node``, ``label``: for every end of an edge the smallest node that it is connected to.
-
-    Each round takes the smallest label among the neighbours and then the label of that label, so
-    long chains halve; labels live in checkpointed tables, only the number of changes reaches the
-    driver. A node with very many edges is split by adaptive skew handling, as its rows meet in a join."""
-    both = edges.select(F.col(left).alias("node"), F.col(right).alias("other"))
-    both = scratch.written(both.union(both.select("other", "node")).distinct(), "edges")
-    labels = scratch.written(
-        both.groupBy("node").agg(F.min("other").alias("least")).select("node", F.least("node", "least").alias("label")),
-        "labels",
-    )
-    while True:
-        near = (
-            both.join(labels.select(F.col("node").alias("other"), "label"), "other")
-            .groupBy("node").agg(F.min("label").alias("near"))
-        )
-        step = labels.join(near, "node").select("node", "label", F.least("label", "near").alias("next"))
-        jump = labels.select(F.col("node").alias("next"), F.col("label").alias("far"))
-        step = scratch.written(
-            step.join(jump, "next", "left").select("node", F.least("next", "far").alias("label"), F.col("label").alias("was")),
-            "labels",
+    """Columns ``node``, ``label``: for every end of an edge between two nodes the smallest node that it is connected to.
+
+    Each round contracts the graph: nodes are ordered by a hash that changes from round to round, so that long chains shrink by a
+    share; a node becomes its first neighbour's first neighbour, edges get the new ends, and loops and repeats are dropped, so
+    each round works on a smaller table. Edges point from the later node to the earlier one only. Edges and labels live in
+    written tables; only whether an edge is left reaches the driver. A node with very many edges is split by adaptive skew
+    handling, as its rows meet in a join with one row."""
+
+    def place(node: str, turn: int):
+        return F.struct(F.xxhash64(F.lit(turn), node).alias("hash"), F.col(node).alias("node"))
+
+    def pointed(df: DataFrame, one: str, two: str, turn: int) -> DataFrame:
+        later = place(one, turn) > place(two, turn)
+        ends = df.filter(F.col(one) != F.col(two)).select(
+            F.when(later, F.col(one)).otherwise(F.col(two)).alias("node"), F.when(later, F.col(two)).otherwise(F.col(one)).alias("other")
         )
-        labels = step.select("node", "label")
-        if not step.filter("label <> was").limit(1).count():
-            return labels
+        return scratch.written(ends.distinct(), "edges")
+
+    turn, labels = 0, None
+    edges = pointed(edges, left, right, turn)
+    while edges.limit(1).count():
+        near = edges.groupBy("node").agg(F.min(place("other", turn)).alias("first")).select("node", F.col("first.node").alias("near"))
+        far = near.select(F.col("node").alias("near"), F.col("near").alias("far"))
+        step = scratch.written(near.join(far, "near", "left").select("node", F.coalesce("far", "near").alias("label")), "step")
+        labels = step if labels is None else scratch.written(followed(labels, step), "labels")
+        ends = edges.join(step.withColumnRenamed("label", "one"), "node").select("one", "other")
+        ends = ends.join(step.select(F.col("node").alias("other"), F.col("label").alias("two")), "other", "left")
+        turn += 1
+        edges = pointed(ends.select("one", F.coalesce("two", "other").alias("two")), "one", "two", turn)
+    if labels is None:
+        return edges.select("node", F.col("other").alias("label"))
+    labels = labels.filter("node <> label")
+    least = labels.groupBy("label").agg(F.min("node").alias("node")).select("label", F.least("label", "node").alias("least"))
+    found = labels.join(least, "label").select("node", F.col("least").alias("label"))
+    return scratch.written(found.union(least.select(F.col("label").alias("node"), F.col("least").alias("label"))), "labels")
+
+
+def contracted(edges: DataFrame, labels: DataFrame, left: str, right: str) -> DataFrame:
+    """``edges`` between components: both ends replaced by their labels (``node``, ``label``), without loops and repeats."""
+    for end in (left, right):
+        found = labels.select(F.col("node").alias(end), F.col("label").alias("_label"))
+        edges = edges.join(found, end, "left").withColumn(end, F.coalesce("_label", end)).drop("_label")
+    return edges.select(left, right).filter(F.col(left) != F.col(right)).distinct()
+
+
+def followed(labels: DataFrame, more: DataFrame) -> DataFrame:
+    """Labels after a second step: ``more`` labels the labels."""
+    on = more.select(F.col("node").alias("label"), F.col("label").alias("next"))
+    moved = labels.join(on, "label", "left").select("node", F.coalesce("next", "label").alias("label"))
+    return moved.union(more.join(labels.select("node"), "node", "left_anti"))

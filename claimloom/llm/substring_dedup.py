@@ -237,7 +237,7 @@ def _find(docs: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
     """Rows of ``docs`` (doc_id, digest, n_words, kept_sha256 if nothing goes), and one row for each text that
     loses words: digest, n_removed, kept (the words that stay, joined by one space)."""
     text = F.coalesce("text", F.lit(""))
-    texts = docs.select("doc_id", F.md5(text).alias("digest"), text.alias("text"))
+    texts = docs.select("doc_id", F.sha2(text, 256).alias("digest"), text.alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = texts.mapInArrow(
         _symbols(width),
@@ -309,7 +309,7 @@ def without_repeats(docs: DataFrame, width: int = 35) -> DataFrame:
     columns = docs.columns
     _, changed = _find(docs.select("doc_id", "text"), width)
     changed = changed.select(F.col("digest").alias("_digest"), F.col("kept").alias("_kept"))
-    keyed = docs.withColumn("_digest", F.md5(F.coalesce("text", F.lit(""))))
+    keyed = docs.withColumn("_digest", F.sha2(F.coalesce("text", F.lit("")), 256))
     joined = keyed.join(changed, "_digest", "left").withColumn("text", F.coalesce("_kept", "text"))
     if "n_chars" in columns:
         size = F.length("_kept").cast(docs.schema["n_chars"].dataType)

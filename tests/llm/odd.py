@@ -3,6 +3,9 @@ clash with the operators' own."""
 
 from pyspark.sql import functions as F
 
+#: Two different words that polynomials of their letters modulo a power of two cannot tell apart.
+ALIKE = ["".join("ab"[(bin(k).count("1") + odd) % 2] for k in range(2048)) for odd in (0, 1)]
+
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 

@@ -1,11 +1,12 @@
 import random
 import re
 
+import numpy as np
 import pytest
-from odd import documents, empty, ordered
+from odd import ALIKE, documents, empty, ordered
 from pyspark.sql import functions as F
 
-from claimloom.llm import minhash_dedup
+from claimloom.llm import minhash_dedup, shared
 
 
 def brute(rows, percent):
@@ -57,6 +58,61 @@ def test_equals_brute_force(spark, monkeypatch, block):
     assert ordered(got.collect()) == ordered(brute(rows, 85))
 
 
+def test_long_words_that_are_alike(spark):
+    words = [f"w{k}" for k in range(34)]
+    rows = [(k, " ".join([*words[:17], word, *words[17:]])) for k, word in enumerate(ALIKE)]
+    got = minhash_dedup.groups(spark.createDataFrame(rows, "doc_id long, text string"), 85).drop("digest").collect()
+    assert ordered(got) == ordered(brute(rows, 85)) and all(r.kept for r in got)
+
+
+def test_many_unlinked_texts_in_one_cluster(spark, monkeypatch):
+    """Texts that share buckets with each other but reach the threshold with few: links have to be found apart from the hubs."""
+    monkeypatch.setattr(minhash_dedup, "BLOCK", 16)
+    monkeypatch.setattr(minhash_dedup, "BLOCK_BYTES", 4096)
+    rnd = random.Random(8)
+    origin = [f"w{k}" for k in range(150)]
+    rows = []
+    for k in range(120):
+        text = list(origin)
+        at = rnd.randrange(100)
+        text[at : at + 12 + k % 9] = [f"own{k}x{j}" for j in range(12 + k % 9)]
+        rows.append((k, " ".join(text)))
+        if k % 5 == 0:
+            text[3] = "other"
+            rows.append((500 + k, " ".join(text)))
+    got = minhash_dedup.groups(spark.createDataFrame(rows, "doc_id long, text string"), 85).drop("digest")
+    assert ordered(got.collect()) == ordered(brute(rows, 85))
+
+
+def test_shared_values_are_counted_exactly(monkeypatch):
+    monkeypatch.setattr(minhash_dedup, "_WIDE", 7)
+    rnd = np.random.default_rng(2)
+    ones, others = ([np.unique(rnd.integers(0, 90, rnd.integers(1, 60)).astype(np.uint64)) for _ in range(n)] for n in (9, 13))
+    got = minhash_dedup.common(ones, others)
+    assert all(got[i, j] == len(np.intersect1d(a, b)) for i, a in enumerate(ones) for j, b in enumerate(others))
+    assert minhash_dedup.common(ones, []).shape == (9, 0)
+
+
+@pytest.mark.parametrize("shape", ["chain", "star", "random"])
+def test_components(spark, shape):
+    rnd = random.Random(6)
+    n = 60
+    edges = {"chain": [(k, k + 1) for k in range(n)], "star": [(n, k) for k in range(n)], "random": [(rnd.randrange(n), rnd.randrange(n)) for _ in range(n // 2)]}[shape]
+    parent = list(range(n + 1))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        x, y = sorted((root(a), root(b)))
+        parent[y] = x
+    got = shared.components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()
+    want = {k: root(k) for a, b in edges if a != b for k in (a, b)}
+    assert len(got) == len(want) and {r.node: r.label for r in got} == want
+
+
 def test_odd_rows(spark):
     docs = documents(spark)
     rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]

@@ -4,7 +4,7 @@ import random
 import re
 
 import pytest
-from odd import documents, empty, ordered
+from odd import ALIKE, documents, empty, ordered
 
 from claimloom.llm import substring_dedup
 
@@ -34,6 +34,13 @@ def test_equals_brute_force(spark, width):
     assert ordered(got) == ordered(brute(rows, width))
 
 
+def test_long_words_that_are_alike(spark):
+    words = [f"w{k}" for k in range(34)]
+    rows = [(k, " ".join([*words[:17], word, *words[17:]])) for k, word in enumerate([*ALIKE, "x" * 70_000, "x" * 69_999 + "y"])]
+    got = substring_dedup.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert ordered(got) == ordered(brute(rows, 35)) and not any(r.n_removed for r in got)
+
+
 def test_odd_rows(spark):
     docs = documents(spark)
     rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
