@@ -189,15 +189,14 @@ def _lower_bytes() -> np.ndarray:
 
 def rolled(values: np.ndarray, width: int) -> np.ndarray:
     """The name of every ``width`` consecutive values (none, if there are fewer). Stretches are joined two and two; each
-    left one is stirred first, so that no algebra of the places survives."""
+    left one is stirred first, for each length in another way, so that neither sums nor swapped values agree."""
     n = len(values) - width + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
     out, done, power, size = None, 0, values, 1
 
     def stirred(x: np.ndarray, round_: int) -> np.ndarray:
-        x = (x ^ (x >> np.uint64(32))) * _ODD1
-        return (x ^ (x >> np.uint64(29))) * _ODD2 + np.uint64(round_)
+        return mix(x + np.uint64(round_ * _BASE % (1 << 64)))
 
     while True:
         if width & size:

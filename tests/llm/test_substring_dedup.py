@@ -3,10 +3,11 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from odd import ALIKE, documents, empty, ordered
 
-from claimloom.llm import substring_dedup
+from claimloom.llm import shared, substring_dedup
 
 
 def brute(rows, width):
@@ -55,3 +56,15 @@ def test_odd_rows(spark):
 def test_empty_table(spark):
     assert substring_dedup.repeats(empty(spark)).count() == 0
     assert substring_dedup.without_repeats(empty(spark)).count() == 0
+
+
+@pytest.mark.parametrize("width", [2, 3, 5, 35])
+def test_swapped_words_have_other_names(width):
+    values = shared.mix(np.arange(1, width + 1, dtype=np.uint64))
+    names = {int(shared.rolled(values, width)[0])}
+    for i in range(width):
+        for j in range(i):
+            other = values.copy()
+            other[[i, j]] = other[[j, i]]
+            names.add(int(shared.rolled(other, width)[0]))
+    assert len(names) == 1 + width * (width - 1) // 2
