@@ -284,12 +284,14 @@ def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
 
 def round_trip(pages: DataFrame) -> DataFrame:
     """The archives of ``pages`` (page_id, url, html) written to the shared folder and read back: page_id, payload_bytes,
-    payload_digest, record_type, refers_to."""
+    payload_digest, record_type, refers_to. A gap in what was just written is an error, not a missing row."""
     spark = pages.sparkSession
     path = scratch.fresh(spark, "warc")
     write(pages, path)
     kind = pages.schema["page_id"].dataType.simpleString()
-    return read(spark, path, payloads=False).filter("reason IS NULL").select(
+    lost = F.raise_error(F.concat_ws(" ", F.lit("gap in archive"), "file", F.lit("at byte"), "first_byte", F.lit(":"), "reason")).cast("boolean")
+    whole = F.when(F.col("reason").isNull(), F.lit(True)).otherwise(lost)
+    return read(spark, path, payloads=False).filter(whole).select(
         F.col("id").cast(kind).alias("page_id"),
         "payload_bytes",
         "payload_digest",

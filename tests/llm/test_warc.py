@@ -90,3 +90,12 @@ def test_gaps_are_logged(spark, tmp_path):
     rows = warc.read(spark, str(tmp_path)).orderBy("first_byte").collect()
     assert [(r.id, r.reason is None) for r in rows] == [("1", True), (None, False), ("2", True)]
     assert rows[1].end_byte - rows[1].first_byte == 4 and rows[1].file.endswith("x.warc") and bytes(rows[2].payload) == b"b"
+
+
+def test_a_gap_after_writing_is_an_error(spark, monkeypatch):
+    damaged = spark.createDataFrame([("f", 0, 9, "bad checksum")], "file string, first_byte long, end_byte long, reason string")
+    missing = {name: F.lit(None).cast(kind) for name, kind in (x.split() for x in warc._READ.split(", ")) if name not in damaged.columns}
+    monkeypatch.setattr(warc, "read", lambda *_, **__: damaged.withColumns(missing))
+    pages = spark.createDataFrame([(1, "u", "text")], "page_id long, url string, html string")
+    with pytest.raises(Exception, match="gap in archive f at byte 0 : bad checksum"):
+        warc.round_trip(pages).collect()
