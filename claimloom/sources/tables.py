@@ -20,14 +20,14 @@ def read_merged(spark: SparkSession, path: str) -> DataFrame:
 def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str], files_per_partition: int = 1) -> None:
     """Replace exactly the partitions that ``df`` has rows for; a re-run gives the same table.
 
-    Rows are spread over ``files_per_partition`` hash groups within each partition, so that one
-    large partition is written by several tasks.
+    Rows are brought together by partition; a partition that is larger than the advisory size of adaptive execution is
+    written by several tasks. ``files_per_partition`` spreads rows over that many hash groups instead.
     """
     if files_per_partition > 1:
         spread = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_partition))
         df = df.repartition(*[F.col(c) for c in partition_by], spread)
     else:
-        df = df.repartition(*[F.col(c) for c in partition_by])
+        df = df.hint("rebalance", *partition_by)
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -1,16 +1,19 @@
-"""Status changes applied by micro-batch to a partitioned table.
+"""Status changes applied by micro-batch to a partitioned table, with a history that does not depend on the cut.
 
 A batch finds the partitions of its claims by a join on the keys, applies its events to those rows and replaces just
-those partitions. Events of one claim are applied in order, whether they come in one batch or in several, so the
-result does not depend on how the stream was cut. An event that is not newer than the row's last update, or does not
-change the status, changes nothing; so a batch that runs again leaves the table as it is.
+those partitions. In the current state an event that is not newer than the row's last update changes nothing.
+
+The history is that of all events in order, however the stream was cut. The events of known claims are logged beside the table. A batch
+derives the versions of its claims from the state at the start and the log, and writes those that end with its first event of the
+claim or later: an event that comes late splits the version that it falls into, and the versions after it are derived again. They
+replace what earlier batches wrote from that point on; earlier versions stay as they are. A batch that runs again finds its
+own events in the log once, so it writes the same rows. Events have ids; of events with one id the first logged counts.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -63,47 +66,82 @@ def merge_in_order(current: DataFrame, events: DataFrame) -> Merge:
     return Merge(both.select(*out), history, applied)
 
 
+STATE = ("claim_status", "denial_reason", "status_update_timestamp")
+_FROM = "history_from"
+
+
 @dataclass(frozen=True)
 class StatusTable:
-    """A status table below ``path``, partitioned by a column that takes few values, such as a month."""
+    """A status table below ``path``, partitioned by a column that takes few values, such as a month. Its tables: ``current``,
+    ``first`` (keys and state at the start), ``events`` (the log, by batch and partition) and ``history`` (by batch)."""
 
     path: str
     partition: str
 
     def create(self, current: DataFrame) -> None:
-        tables.overwrite_partitions(with_status_columns(current), f"{self.path}/current", [self.partition])
+        rows = with_status_columns(current)
+        tables.overwrite_partitions(rows, f"{self.path}/current", [self.partition])
+        first = self.current(current.sparkSession).select(*CLAIM_KEYS, *STATE, self.partition)
+        tables.overwrite_partitions(first, f"{self.path}/first", [self.partition])
 
     def current(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(f"{self.path}/current")
 
     def history(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(f"{self.path}/history")
-
-    def _has_history(self, spark: SparkSession, batch_id: int) -> bool:
-        try:
-            spark.read.parquet(f"{self.path}/history/batch_id={batch_id}")
-        except AnalysisException:
-            return False
-        return True
+        """The versions that no later batch has derived again."""
+        rows = spark.read.parquet(f"{self.path}/history")
+        cuts = rows.select(*CLAIM_KEYS, "batch_id", _FROM).distinct()
+        later = Window.partitionBy(*CLAIM_KEYS).orderBy(F.col("batch_id").desc()).rowsBetween(Window.unboundedPreceding, -1)
+        cuts = cuts.select(*CLAIM_KEYS, "batch_id", F.min(_FROM).over(later).alias("__again"))
+        valid = F.coalesce(_point("history_effective_end_date", "history_event_id") < F.col("__again"), F.lit(True))
+        return rows.join(cuts, [*CLAIM_KEYS, "batch_id"]).filter(valid).drop("__again", _FROM)
+
+    def _within(self, rows: DataFrame, found: list) -> DataFrame:
+        """The rows of some partitions: a filter on the partition column, so that others are not read."""
+        mine = F.col(self.partition).isin([x for x in found if x is not None])
+        return rows.filter(mine | F.col(self.partition).isNull() if None in found else mine)
+
+    def _logged(self, spark: SparkSession, found: list, batch_id: int) -> DataFrame:
+        """Events logged up to a batch for claims of some partitions, each id once."""
+        log = self._within(spark.read.parquet(f"{self.path}/events"), found).filter(F.col("batch_id") <= batch_id)
+        fields = [c for c in log.columns if c not in (*CLAIM_KEYS, "event_id", "batch_id", self.partition)]
+        once = log.groupBy(*CLAIM_KEYS, "event_id").agg(F.min(F.struct("batch_id", *fields)).alias("__first"))
+        return once.select(*CLAIM_KEYS, "event_id", *[F.col(f"__first.{c}").alias(c) for c in ("batch_id", *fields)])
 
     def apply(self, batch: DataFrame, batch_id: int) -> list:
-        """``foreachBatch`` step; returns the partitions it replaced. The history is written first and from the state before the batch; a batch that
-        runs again finds it and goes on with the table."""
+        """``foreachBatch`` step; returns the partitions it replaced. Log and history are written first; both are replaced when
+        the batch runs again."""
         spark = batch.sparkSession
         events = scratch.written(batch, "events")
         keys = events.select(*CLAIM_KEYS).distinct()
         rows = self.current(spark)
-        touched = rows.join(keys, list(CLAIM_KEYS), "left_semi").select(self.partition).distinct()
-        found = [r[0] for r in touched.collect()]  # values of the partition column
+        known = scratch.written(rows.join(keys, list(CLAIM_KEYS), "left_semi").select(*CLAIM_KEYS, self.partition), "touched")
+        found = [r[0] for r in known.select(self.partition).distinct().collect()]  # values of the partition column
         if not found:
             return []
-        part = rows.filter(F.col(self.partition).isin([x for x in found if x is not None]))
-        if None in found:
-            part = part.union(rows.filter(F.col(self.partition).isNull()))
-        merge = merge_in_order(part, events)
-        if not self._has_history(spark, batch_id):
-            merge.history.write.mode("overwrite").parquet(f"{self.path}/history/batch_id={batch_id}")
+        logged = events.join(known, list(CLAIM_KEYS)).withColumn("batch_id", F.lit(batch_id).cast("int"))
+        tables.overwrite_partitions(logged, f"{self.path}/events", ["batch_id", self.partition])
+        part = self._within(rows, found)
+        self._derive(part, found, batch_id)
         # The new partitions are written aside first: a table cannot be read and replaced at once.
-        new = scratch.written(merge.current, "partitions")
+        new = scratch.written(merge_in_order(part, events).current, "partitions")
         tables.overwrite_partitions(new, f"{self.path}/current", [self.partition])
         return found
+
+    def _derive(self, part: DataFrame, found: list, batch_id: int) -> None:
+        """Writes the versions of the batch's claims from the first event on that the batch adds to the log."""
+        spark = part.sparkSession
+        log = scratch.written(self._logged(spark, found, batch_id), "log")
+        point = _point("event_timestamp", "event_id")
+        starts = log.filter(F.col("batch_id") == batch_id).groupBy(*CLAIM_KEYS).agg(F.min(point).alias(_FROM))
+        mine = log.drop("batch_id").join(starts.select(*CLAIM_KEYS), list(CLAIM_KEYS), "left_semi")
+        state = self._within(spark.read.parquet(f"{self.path}/first"), found).select(*CLAIM_KEYS, *STATE)
+        first = part.drop(*STATE).join(state, list(CLAIM_KEYS)).join(starts.select(*CLAIM_KEYS), list(CLAIM_KEYS), "left_semi")
+        versions = merge_in_order(first, mine).history.join(starts, list(CLAIM_KEYS))
+        again = versions.filter(_point("history_effective_end_date", "history_event_id") >= F.col(_FROM))
+        again.write.mode("overwrite").parquet(f"{self.path}/history/batch_id={batch_id}")
+
+
+def _point(time: str, number: str) -> Column:
+    """Where an event stands in the order of events."""
+    return F.struct(F.col(time).alias("at"), F.col(number).alias("id"))

@@ -125,6 +125,50 @@ def test_table_equals_one_merge(spark, tmp_path, status, reason):
     assert sorted(map(repr, store.history(spark).select(*past).collect())) == want
 
 
+def test_history_does_not_depend_on_the_cut(spark, tmp_path):
+    """Reversed batches, repeated events and late ones that split versions: the history of one merge, the statuses too."""
+    rows = [(f"C{i}", "L1", "PENDING", None, f"m{i % 2}" if i else None) for i in range(5)]
+    base = spark.createDataFrame(rows, CURRENT)
+    sent = [
+        message(1, "PAID", 1), message(2, "DENIED", 2, denial_reason="r2"), message(3, "PAID", 3), message(4, "PAID", 4),
+        message(5, "PAID", 2, "C2"), message(6, "PAID", 1, "C2"), message(7, "PENDING", 1, "C3"), message(8, "DENIED", 5, "C3"),
+        message(9, "ADJUSTED", 5, "C3"), message(10, "PAID", 3, "C0"), message(11, "DENIED", 2, "C0"), message(12, "PAID", 1, "C9"),
+    ]
+    schema = schemas.schema("claim_status_events", streaming=True)
+    past = [*FIELDS, "history_effective_end_date", "history_event_id"]
+    ordered = sorted(sent, key=lambda m: m["event_timestamp"])
+    cuts = {
+        "reversed": [ordered[k : k + 4] for k in range(8, -1, -4)],
+        "mixed": [[sent[k] for k in (2, 6, 8)], [sent[k] for k in (0, 4, 9)], [sent[k] for k in (3, 2, 5, 11)], [sent[k] for k in (1, 7, 10)]],
+    }
+    drop(tmp_path / "all", 0, *sent)
+    every = spark.read.schema(schema).json(str(tmp_path / "all"))
+    want = sorted(map(repr, merge.merge_in_order(base, every).history.select(*past).collect()))
+    statuses = {r[0]: r[1] for r in merge.merge_in_order(base, every).current.select("claim_id", "claim_status").collect()}
+    for name, batches in cuts.items():
+        store = merge.StatusTable(str(tmp_path / name), "month")
+        store.create(base)
+        for number, some in enumerate(batches):
+            drop(tmp_path / f"{name}-{number}", 0, *some)
+            batch = spark.read.schema(schema).json(str(tmp_path / f"{name}-{number}"))
+            store.apply(batch, number)
+        store.apply(batch, number)  # the last batch runs again
+        assert sorted(map(repr, store.history(spark).select(*past).collect())) == want, name
+        assert {r[0]: r[1] for r in store.current(spark).select("claim_id", "claim_status").collect()} == statuses
+
+
+def test_late_event_leaves_the_current_state(spark, tmp_path):
+    store = merge.StatusTable(str(tmp_path / "store"), "month")
+    store.create(spark.createDataFrame([("C1", "L1", "PENDING", None, "m")], CURRENT))
+    schema = schemas.schema("claim_status_events", streaming=True)
+    for number, some in enumerate([message(2, "PAID", 2), message(1, "DENIED", 1)]):
+        drop(tmp_path / str(number), 0, some)
+        store.apply(spark.read.schema(schema).json(str(tmp_path / str(number))), number)
+    assert [r.claim_status for r in store.current(spark).collect()] == ["PAID"]
+    got = store.history(spark).orderBy("history_effective_end_date").select("claim_status", "history_event_id").collect()
+    assert [tuple(r) for r in got] == [("PENDING", "E1"), ("DENIED", "E2")]
+
+
 def test_progress_is_appended(spark, tmp_path):
     folder, path = tmp_path / "in", str(tmp_path / "progress")
     drop(folder, 1, message(1), message(2))
