@@ -25,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyarrow import fs
 from pyspark import SparkFiles
@@ -208,14 +209,27 @@ def encode(docs: DataFrame, tokenizer: Tokenizer, key: str = "doc_id", limit: in
     return texts.mapInArrow(run, f"`{key}` {field.dataType.simpleString()}, ids array<int>")
 
 
+#: Ids that are turned into text at a time; a longer row is a part of its own.
+PART = 1 << 20
+
+
 def _decoded(load: Callable[[], Tokenizer]):
     def run(batches):
         tokenizer = load()
         told = {number: token for token, number in (tokenizer.vocabulary | tokenizer.added).items()}
+        tokens = pa.array([told.get(k) for k in range(max(told) + 1)], pa.string())
         for batch in batches:
-            ids = batch.column(batch.schema.get_field_index("ids")).to_pylist()
-            texts = [None if x is None else " ".join(map(told.__getitem__, x)) for x in ids]
-            yield pa.record_batch([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"])
+            column = batch.schema.get_field_index("ids")
+            sizes = pc.fill_null(pc.list_value_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+            parts = (np.cumsum(sizes, dtype=np.int64) - sizes) // PART
+            cuts = [0, *(np.flatnonzero(np.diff(parts)) + 1).tolist(), batch.num_rows] if batch.num_rows else []
+            for start, end in zip(cuts, cuts[1:], strict=False):
+                part = batch.slice(start, end - start)
+                ids = part.column(column)
+                ends = np.append(0, np.cumsum(sizes[start:end])).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), tokens.take(ids.flatten()))
+                texts = pc.if_else(ids.is_valid(), pc.binary_join(lists, " "), pa.scalar(None, pa.string()))
+                yield pa.record_batch([*part.columns, texts], names=[*part.schema.names, "decoded"])
 
     return shared.frugal(run)
 
