@@ -6,8 +6,8 @@ words for 5). The term space holds the benchmark's words; passages and benchmark
 items are TF-IDF vectors in it, with document frequencies counted over the passages of all distinct texts; every term has a
 weight, however frequent it is. A randomised singular value decomposition
 gives the latent space: each task multiplies its passages with a random matrix, sums of these small products and a
-second pass with the orthonormal basis give the leading directions. It is fitted on the items and a sample of distinct texts (about ``FIT_TEXTS``,
-by hash of the text); every passage of every text is then projected and searched. Passages whose cosine to a part reaches
+second pass with the orthonormal basis give the leading directions. It is fitted on the items and every passage of all distinct
+texts, whose terms are written once and read by both passes; every passage of every text is then projected and searched. Passages whose cosine to a part reaches
 ``COSINE`` and that hold ``OVERLAP`` of the part's terms are candidates. (Some passage holds three quarters of the part's words.)
 The whole item is then compared around the place that the part gives it; places that overlap are one. It counts if the longest common subsequence of words, within a stretch of one and a half times the
 item's length, covers ``COVER`` of the item, or, for paraphrases, ``LOOSE`` of it and ``ANSWER`` of its answer (its last words).
@@ -35,14 +35,16 @@ from claimloom.sources import scratch
 PASSAGE = 64
 SIZES = (8, 16, 32, PASSAGE)
 RANK, EXTRA = 64, 16
-FIT_TEXTS = 2000
 ITEMS, BYTES = 1024, 512
 SHORTEST = 5
 COSINE = 0.5
 OVERLAP = 0.4
 COVER, LOOSE, ANSWER = 0.8, 0.6, 0.8
 ANSWER_WORDS = 8
+FIT_TEXTS = 2000
 _SEED = 17
+PIECE = 1 << 20  # bytes of written lists that a task works on at once
+_ROWS = 16  # rows of a matrix that are summed together
 
 
 def _words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -81,10 +83,10 @@ def _passages(limits: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return limits[:-1][text] + place * step, text
 
 
-def _counted(words, limits, terms: Terms, size: int = PASSAGE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Sparse passage-term counts (passage, term, times), sorted by passage; first word and text of the passages."""
+def _counted(at, term, limits, width: int, size: int = PASSAGE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sparse passage-term counts (passage, term, times), sorted by passage; first word and text of the passages. ``at`` and
+    ``term``: places of the words that are among the ``width`` terms, and which they are."""
     first, text = _passages(limits, size)
-    at, term = terms.find(words)
     owner = np.searchsorted(limits, at, "right") - 1
     base = np.searchsorted(text, owner)
     place = (at - limits[owner]) // (size // 2)
@@ -93,9 +95,9 @@ def _counted(words, limits, terms: Terms, size: int = PASSAGE) -> tuple[np.ndarr
     for back in range(2):  # the passages that hold the word
         mine = place - back
         good = (mine >= 0) & (mine < count)
-        keys.append((base[good] + mine[good]) * len(terms.names) + term[good])
+        keys.append((base[good] + mine[good]) * width + term[good])
     keys, times = np.unique(np.concatenate(keys) if keys else np.zeros(0, np.int64), return_counts=True)
-    return keys // len(terms.names), keys % len(terms.names), times, first, text
+    return keys // width, keys % width, times, first, text
 
 
 def _weighted(passage, term, times, idf) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -117,60 +119,96 @@ def _projected(passage, term, value, basis: np.ndarray) -> tuple[np.ndarray, np.
 
 
 def _term_lists(terms: Terms):
-    """For each text its digest, its number of passages, and in how many of them each of its terms is (terms, then numbers)."""
+    """For each text its digest, its number of words, and (place, term) of each word that is a term."""
 
     def run(batches):
         for batch in batches:
             for part in shared.pieces(batch, "text"):
-                passage, term, _, _, text = _counted(*_words(part.column("text")), terms)
-                keys, n = np.unique(text[passage] * len(terms.names) + term, return_counts=True)
-                cuts = np.searchsorted(keys // len(terms.names), np.arange(part.num_rows + 1))
-                packed = np.stack([keys % len(terms.names), n]).astype(np.int32)
-                lists = [packed[:, x:y].tobytes() for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
-                count = np.bincount(text, minlength=part.num_rows)
-                yield pa.record_batch([part.column("digest"), pa.array(count), pa.array(lists, pa.binary())], names=["digest", "n", "terms"])
+                words, limits = _words(part.column("text"))
+                at, term = terms.find(words)
+                owner = np.searchsorted(limits, at, "right") - 1
+                pairs = np.stack([at - limits[owner], term], 1).astype(np.int32)
+                ends = (8 * np.searchsorted(at, limits)).astype(np.int32)
+                lists = pa.Array.from_buffers(pa.binary(), part.num_rows, [None, pa.py_buffer(ends), pa.py_buffer(pairs)])
+                yield pa.record_batch([part.column("digest"), pa.array(np.diff(limits)), lists], names=["digest", "words", "terms"])
 
     return shared.frugal(run)
 
 
-def _summed_lists(size: int):
+def _lists(docs: DataFrame, terms: Terms) -> DataFrame:
+    """The terms of all distinct texts, written once. Copies meet by their digest only and are combined before the exchange."""
+    lists = docs.select(F.sha2("text", 256).alias("digest"), "text").mapInArrow(_term_lists(terms), "digest string, words long, terms binary")
+    return scratch.written(lists.dropDuplicates(["digest"]).select("words", "terms"), "terms")
+
+
+def _listed(batches, width: int):
+    """Passage-term counts of written lists, piece by piece."""
+    for batch in batches:
+        for part in shared.pieces(batch, "terms", PIECE):
+            limits = np.append(0, np.cumsum(part.column("words").to_numpy(zero_copy_only=False)))
+            data, places = shared.raw(part.column("terms"))
+            pairs = data.view(np.int32).reshape(-1, 2)
+            at = pairs[:, 0] + np.repeat(limits[:-1], np.diff(places) // 8)
+            yield _counted(at, pairs[:, 1].astype(np.int64), limits, width)
+
+
+def _often(width: int):
+    """In how many passages each term is; how many passages there are comes as term -1."""
+
     def run(batches):
-        total, count = np.zeros(size, np.int64), 0
-        for batch in batches:
-            count += sum(batch.column("n").to_pylist())
-            for packed in batch.column("terms"):
-                term, n = np.frombuffer(packed.as_buffer(), np.int32).reshape(2, -1)
-                total[term] += n
+        total, count = np.zeros(width, np.int64), 0
+        for _, term, _, first, _ in _listed(batches, width):
+            total += np.bincount(term, minlength=width)
+            count += len(first)
         some = np.flatnonzero(total)
         yield pa.record_batch([pa.array(np.append(some, -1)), pa.array(np.append(total[some], count))], names=["term", "n"])
 
     return shared.frugal(run)
 
 
-def _frequencies(docs: DataFrame, terms: Terms) -> tuple[np.ndarray, int]:
-    """In how many passages of distinct texts each term is, and how many there are. Copies meet by their digest only, with what
-    was counted in them, and are combined before the exchange."""
-    lists = docs.select(F.sha2("text", 256).alias("digest"), "text").mapInArrow(_term_lists(terms), "digest string, n long, terms binary")
-    counted = lists.dropDuplicates(["digest"]).select("n", "terms").mapInArrow(_summed_lists(len(terms.names)), "term long, n long")
+def _frequencies(docs: DataFrame, terms: Terms, lists: DataFrame | None = None) -> tuple[np.ndarray, int]:
+    """In how many passages of distinct texts each term is, and how many there are. ``lists``: what ``_lists`` gave for them."""
+    lists, width = _lists(docs, terms) if lists is None else lists, len(terms.names)
+    counted = lists.mapInArrow(_often(width), "term long, n long")
     counts = {r["term"]: r["n"] for r in counted.groupBy("term").agg(F.sum("n").alias("n")).collect()}  # as many as the block has words
     total = counts.pop(-1, 0)
-    return np.array([counts.get(k, 0) for k in range(len(terms.names))]), total
+    return np.array([counts.get(k, 0) for k in range(width)]), total
 
 
-def _sketch(terms: Terms, idf: np.ndarray, basis: np.ndarray, back: bool):
-    """Sum over passages of x (x B) if ``back``, else of (x B)' (x B), for unit vectors x."""
+def _sketch(idf: np.ndarray, basis: np.ndarray, back: bool):
+    """Sum over passages of x (x B) if ``back``, else of (x B)' (x B), for unit vectors x; some rows of the matrix at a time."""
 
     def run(batches):
         total = np.zeros((len(idf) if back else basis.shape[1], basis.shape[1]))
-        for batch in batches:
-            for part in shared.pieces(batch, "text"):
-                passage, term, times, _, _ = _counted(*_words(part.column("text")), terms)
-                total += _product(*_weighted(passage, term, times, idf), basis, back)
-        yield pa.record_batch([pa.array([total.tobytes()], pa.binary())], names=["total"])
+        for passage, term, times, _, _ in _listed(batches, len(idf)):
+            total += _product(*_weighted(passage, term, times, idf), basis, back)
+        blocks = [(k, total[k : k + _ROWS]) for k in range(0, len(total), _ROWS)]
+        blocks = [(k, rows.tobytes()) for k, rows in blocks if rows.any()]
+        yield pa.record_batch([pa.array([k for k, _ in blocks], pa.int32()), pa.array([x for _, x in blocks], pa.binary())], names=["row", "total"])
 
     return shared.frugal(run)
 
 
+def _added(batches):
+    """Sums of the same rows of the tasks' matrices."""
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for row, total in zip(batch.column("row").to_pylist(), batch.column("total").to_pylist(), strict=True):
+            sums[row] = sums.get(row, 0) + np.frombuffer(total)
+    yield pa.record_batch([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["row", "total"])
+
+
+def _summed(lists: DataFrame, idf: np.ndarray, basis: np.ndarray, back: bool) -> np.ndarray:
+    """``_sketch`` over all lists; the tasks' matrices are added in tasks, so one matrix comes back however many there are."""
+    kind = "row int, total binary"
+    parts = lists.mapInArrow(_sketch(idf, basis, back), kind).repartition("row").mapInArrow(_added, kind)
+    out = np.zeros((len(idf) if back else basis.shape[1], basis.shape[1]))
+    for r in parts.collect():
+        rows = np.frombuffer(r["total"]).reshape(-1, basis.shape[1])
+        out[r["row"] : r["row"] + len(rows)] = rows
+    return out
+
+
 def _product(passage, term, value, basis, back: bool) -> np.ndarray:
     which, y = _projected(passage, term, value, basis)
     if not len(which):
@@ -224,9 +262,10 @@ class Index:
     def near(self, words: np.ndarray, limits: np.ndarray, cosine: float = COSINE):
         """Candidates (word at which the item would begin, text, item, cosine)."""
         need = np.maximum(1, np.ceil(OVERLAP * np.bincount(self.held // len(self.idf), minlength=len(self.parts))))
+        at, known = self.terms.find(words)
         for size in np.unique(self.parts[:, 2]).tolist():
             mine = np.flatnonzero(self.parts[:, 2] == size)
-            passage, term, times, first, text = _counted(words, limits, self.terms, size)
+            passage, term, times, first, text = _counted(at, known, limits, len(self.idf), size)
             passage, term, value = _weighted(passage, term, times, self.idf)
             which, y = _projected(passage, term, value, self.basis)
             y /= np.maximum(np.linalg.norm(y, axis=1), 1e-12)[:, None]
@@ -300,7 +339,8 @@ class Index:
 
 
 def _fit_texts(docs: DataFrame) -> DataFrame:
-    """About ``FIT_TEXTS`` to twice as many distinct texts, each once, however many copies it has."""
+    """About ``FIT_TEXTS`` to twice as many distinct texts, each once, however many copies it has: for a look at a corpus. The
+    operator does not use it; its space is fitted on all texts."""
     distinct = docs.agg(F.approx_count_distinct("text")).first()[0]
     chosen = F.pmod(F.xxhash64("text", F.lit(_SEED)), F.lit(max(1, distinct // FIT_TEXTS))) == 0
     return docs.select("text").filter(chosen).dropDuplicates(["text"])
@@ -314,20 +354,17 @@ def _block_index(docs: DataFrame, rows: list) -> Index | None:
         return None
     items = [words[limits[k] : limits[k + 1]] for k in kept]
     terms = Terms.of(np.concatenate(items))
-    often, total = _frequencies(docs, terms)
+    lists = _lists(docs, terms)
+    often, total = _frequencies(docs, terms, lists)
     idf = (np.log((1 + total) / (1 + often)) + 1).astype(np.float32)
     parts = [(k, *part) for k, x in enumerate(items) for part in _parts(len(x))]
     pairs = [np.unique(terms.find(items[k][a:b])[1], return_counts=True) for k, a, b, _ in parts]
     owner = np.repeat(np.arange(len(parts)), [len(t) for t, _ in pairs])
     vectors = _weighted(owner, np.concatenate([t for t, _ in pairs]), np.concatenate([n for _, n in pairs]), idf)
 
-    sample = scratch.written(_fit_texts(docs).repartition(8), "fit")
-
     def summed(basis: np.ndarray, back: bool) -> np.ndarray:
-        parts = sample.mapInArrow(_sketch(terms, idf, basis, back), "total binary").collect()  # one small matrix per task of the sample
-        shape = (len(idf) if back else basis.shape[1], basis.shape[1])
-        # The items weigh as much as the sampled passages, so that the space can tell them apart.
-        corpus = sum((np.frombuffer(p["total"]).reshape(shape) for p in parts), np.zeros(shape))
+        corpus = _summed(lists, idf, basis, back)
+        # The items weigh as much as the passages, so that the space can tell them apart.
         mine = _product(*vectors, basis, back)
         return corpus / max(np.abs(corpus).sum(), 1e-12) + mine / max(np.abs(mine).sum(), 1e-12)
 

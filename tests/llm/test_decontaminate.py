@@ -133,3 +133,38 @@ def test_empty_tables(spark):
 def test_common_length():
     assert decontaminate.common_length([1, 2, 3, 4], [9, 1, 3, 9, 4]) == 3
     assert decontaminate.common_length([1, 1, 1], [1, 1]) == 2 and decontaminate.common_length([], [1]) == 0
+
+
+def test_space_is_fitted_on_every_distinct_text(spark):
+    """The sums behind the latent space are those over the passages of all texts, copies once; 5,000 of them are more than a sample held."""
+    import numpy as np
+    import pyarrow as pa
+
+    rnd = random.Random(3)
+    words = [f"w{k}" for k in range(40)]
+    texts = [" ".join([f"only{k}", *(rnd.choice(words) for _ in range(rnd.choice([3, 70, 100]) if k % 50 == 0 else 4))]) for k in range(5000)]
+    rows = [(k, t) for k, t in enumerate([*texts, *texts[:300], None, ""])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    terms = decontaminate.Terms.of(decontaminate._words(pa.array([" ".join([*words, *(f"only{k}" for k in range(0, 5000, 7))])]))[0])
+    width = len(terms.names)
+    lists = decontaminate._lists(docs, terms)
+    often, total = decontaminate._frequencies(docs, terms, lists)
+    names = {int(x): k for k, x in enumerate(terms.names)}
+    vectors = []
+    for t in texts:
+        told = [names.get(int(x)) for x in decontaminate._words(pa.array([t]))[0]]
+        for a in range(0, max(1, 1 + -(-(len(told) - 64) // 32)) * 32, 32):
+            x = np.zeros(width)
+            for term in told[a : a + 64]:
+                if term is not None:
+                    x[term] += 1
+            vectors.append(x)
+    x = np.array(vectors)
+    assert total == len(x) and (often == (x > 0).sum(0)).all()
+    idf = (np.log((1 + total) / (1 + often)) + 1).astype(np.float32)
+    x = np.log1p(x) * idf
+    x /= np.maximum(np.linalg.norm(x, axis=1), 1e-12)[:, None]
+    basis = np.random.default_rng(1).standard_normal((width, 20)).astype(np.float32)
+    for back in (True, False):
+        want = (x.T if back else (x @ basis).T) @ (x @ basis)
+        assert np.allclose(decontaminate._summed(lists, idf, basis, back), want, rtol=1e-3, atol=1e-3 * np.abs(want).max())
