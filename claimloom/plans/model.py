@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from claimloom.config import Settings
 from claimloom.operators import audit, dimensions, quality
 from claimloom.operators import fact as fact_op
-from claimloom.operators.changes import CLAIM_KEYS, latest
+from claimloom.operators.changes import latest
 from claimloom.operators.star import Derived, Lookup, star
 from claimloom.streaming import events as ev
 
@@ -81,6 +81,8 @@ CLAIM = {
         WHEN l_linestatus = 'F' THEN 'PAID' ELSE 'PENDING' END""",
     "submission_date": "CAST(l_shipdate AS DATE)",
 }
+#: The numbers that the texts of a claim's keys are made of, one to one.
+KEY_NUMBERS = {"claim_id": "l_orderkey", "claim_line_id": "l_linenumber"}
 ORDER = {
     "member_id": "o_custkey",
     "service_date": "CAST(o_orderdate AS DATE)",
@@ -145,12 +147,14 @@ class Tables:
         """Claim lines with the given columns; tables that none of them comes from are not read.
 
         ``unique`` keeps one row per claim line, the later submission first. That happens on the
-        claim lines alone, so the lookups see fewer rows.
+        claim lines alone, so the lookups see fewer rows. The texts of the claim's keys are made after the lookups:
+        rows are moved and sorted with the numbers alone.
         """
-        base = self.table("lineitem").select("l_orderkey", "l_partkey", *exprs(CLAIM))
+        own = {c: text for c, text in CLAIM.items() if c not in KEY_NUMBERS}
+        base = self.table("lineitem").select(*KEY_NUMBERS.values(), "l_partkey", *exprs(own))
         if unique:
             order = [F.col(c).desc() for c in ("submission_date", "procedure_code", "provider_id", "claim_amount")]
-            base = latest(base, CLAIM_KEYS, order)
+            base = latest(base, list(KEY_NUMBERS.values()), order)
         lookups = [
             Lookup("orders", "l_orderkey", "o_orderkey", {c: c for c in ORDER}, self._orders),
             Lookup("part", "l_partkey", "p_partkey", {"diagnosis_code": "p_type"}, lambda: self.table("part")),
@@ -168,7 +172,8 @@ class Tables:
             ("claim_status", "order_priority"),
             lambda: F.when(F.col("claim_status") == "DENIED", F.col("order_priority")),
         )
-        return star(base, lookups, {"denial_reason": reason}, columns)
+        keys = {c: Derived((number,), lambda c=c: F.expr(CLAIM[c])) for c, number in KEY_NUMBERS.items()}
+        return star(base, lookups, {**keys, "denial_reason": reason}, columns)
 
     def _orders(self) -> DataFrame:
         return self.table("orders").select("o_orderkey", *exprs(ORDER))

@@ -59,3 +59,14 @@ def test_a_refresh_reads_the_changed_months(spark, tmp_path):
     months = [r[0] for r in rows.filter("id < 2").select("m").collect()]
     text = plan(streams.changed_months(spark.read.parquet(str(tmp_path / "t")), "m", months))
     assert "PartitionFilters: [m#" in text and "m#" in text.split("PartitionFilters")[1].split("]")[0]
+
+
+def test_claims_are_joined_by_numbers(spark):
+    """The texts of a claim's keys are made above the joins, so they are neither moved nor sorted."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        text = plan(Tables(spark, FOLDER).claims(["claim_id", "claim_line_id", "member_id"]))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in text and "concat(C" in text and "concat(C" not in text[text.index("SortMergeJoin") :]
