@@ -338,12 +338,17 @@ def utilization_by(fact: DataFrame, key: str) -> DataFrame:
     )
 
 
-def patient_mix(fact: DataFrame, attributes: Sequence[str]) -> DataFrame:
+def patient_mix(fact: DataFrame, attributes: Sequence[str], *, members: DataFrame | None = None) -> DataFrame:
     """Members of a provider by age group, state and so on, and their share. Members are counted per
-    provider and attribute value; the share's total runs over those few rows."""
+    provider and attribute value; the share's total runs over those few rows. With ``members`` (member_id and the
+    attributes) pairs of keys are made unique first, so that the large aggregation holds two narrow keys."""
     name, value = _long_form(attributes)
     sets = [[F.col("provider_id"), F.col(c)] for c in attributes]
-    unique = fact.select("provider_id", "member_id", *attributes).distinct()
+    if members is None:
+        unique = fact.select("provider_id", "member_id", *attributes).distinct()
+    else:
+        pairs = fact.select("provider_id", "member_id").distinct()
+        unique = pairs.join(members.select("member_id", *attributes).distinct(), "member_id", "left")
     mix = unique.groupingSets(sets, "provider_id", *attributes).agg(
         name.alias("attribute"), value.alias("value"), F.count("member_id").alias("members")
     )

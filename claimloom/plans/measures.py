@@ -349,7 +349,8 @@ def _mix(attribute: str) -> str:
 @query("m20_patient_mix", f"{_mix('member_age_group')} UNION ALL {_mix('member_state')}")
 def _(t):
     attributes = ["member_age_group", "member_state"]
-    return kpis.patient_mix(t.fact(["provider_id", "member_id", *attributes]), attributes)
+    members = t.dim_member().filter("is_current").withColumnRenamed("state", "member_state")
+    return kpis.patient_mix(t.fact(["provider_id", "member_id"]), attributes, members=members)
 
 
 _AGES = ["Minor", "Adult 18-34", "Adult 35-49", "Adult 50-64", "Senior 65+"]

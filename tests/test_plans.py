@@ -70,3 +70,14 @@ def test_claims_are_joined_by_numbers(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "SortMergeJoin" in text and "concat(C" in text and "concat(C" not in text[text.index("SortMergeJoin") :]
+
+
+def test_patients_are_made_unique_by_keys(spark):
+    """Rows are first made unique on the two keys alone; equal members count once, different rows of a member each."""
+    from claimloom.operators import kpis
+
+    fact = spark.createDataFrame([(1, 1), (1, 1), (1, 2), (2, 1), (None, 2), (1, None)], "provider_id long, member_id long")
+    members = spark.createDataFrame([(1, "a", "x"), (1, "a", "x"), (1, "b", "x"), (2, "a", None)], "member_id long, age string, state string")
+    both = fact.join(members, "member_id", "left")
+    rows = lambda df: sorted(map(str, df.collect()))
+    assert rows(kpis.patient_mix(fact, ["age", "state"], members=members)) == rows(kpis.patient_mix(both, ["age", "state"]))
