@@ -40,6 +40,8 @@ LEAST = 0.02
 WIDTHS = (12, 32)
 OVERLAP = 8
 KNOWN_WORDS = 200_000
+#: Bytes of text that are scored at once; all of their words may be new to the table.
+PIECE = 1 << 20
 _CHUNK = 20_000
 _EDGES = "".join(chr(b) for b in range(33, 127) if not chr(b).isalnum())
 
@@ -282,7 +284,7 @@ def _scored(model: Model):
     def run(batches):
         scorer = _Scorer(model.keys, model.slots, model.features) if model.constant is None else None
         for batch in batches:
-            for part in shared.pieces(batch, "text"):
+            for part in shared.pieces(batch, "text", PIECE):
                 if scorer is None:
                     score = np.full(part.num_rows, model.constant)
                 else:

@@ -57,3 +57,18 @@ def test_few_labels(spark):
     left = toxicity.without_toxic(docs, labels)
     assert left.schema == docs.schema and left.count() == docs.count()
     assert toxicity.without_toxic(empty(spark), labels).count() == 0
+
+
+def test_texts_are_scored_in_small_pieces(monkeypatch):
+    """Each piece may bring as many new words as it has; scores do not depend on the cut."""
+    import numpy as np
+    import pyarrow as pa
+
+    texts = [f"good day {k} " * 20 + ("vile" * (k % 3)) for k in range(9000)]
+    model = toxicity.train(texts[:300], [int(k % 3 > 0) for k in range(300)])
+    whole = next(toxicity._scored(model)(iter([pa.record_batch([pa.array(texts[-50:])], names=["text"])]))).column("_score")
+    sizes, features = [], toxicity._Scorer.features
+    monkeypatch.setattr(toxicity._Scorer, "features", lambda self, part: sizes.append(sum(map(len, part))) or features(self, part))
+    out = list(toxicity._scored(model)(iter([pa.record_batch([pa.array(texts)], names=["text"])])))
+    assert model.constant is None and sum(sizes) == sum(map(len, texts)) and max(sizes) <= 1 << 20
+    assert np.array_equal(np.concatenate([b.column("_score").to_numpy() for b in out])[-50:], whole.to_numpy())
