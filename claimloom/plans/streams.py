@@ -223,7 +223,7 @@ def _(t):
 def _(t):
     columns = "claim_id claim_line_id claim_status denial_reason status_update_timestamp"
     ends = ["history_effective_end_date", "history_event_id"]
-    return status_store(t).history(t.spark).select(*columns.split(), *ends)
+    return status_store(t).history(t.spark, [*columns.split(), *ends])
 
 
 @query(

@@ -181,3 +181,24 @@ def test_progress_is_appended(spark, tmp_path):
     finally:
         source.sparkSession.streams.removeListener(listener)
     assert spark.read.schema(monitor.PROGRESS).parquet(path).agg(F.sum("input_rows")).first()[0] == 2
+
+
+def test_a_batch_writes_what_its_events_reach(spark, tmp_path):
+    """An event for one claim of a large partition does not write the other claims of the partition again."""
+    base = spark.range(5_000).selectExpr(
+        "concat('C', id) AS claim_id", "'L1' AS claim_line_id", "'PENDING' AS claim_status", "CAST(NULL AS STRING) AS denial_reason",
+        "id AS claim_amount", "'m' AS month",
+    )
+    store = merge.StatusTable(str(tmp_path / "store"), "month")
+    store.create(base)
+    at_start = {f for f in (tmp_path / "store").rglob("*.parquet")}
+    drop(tmp_path / "in", 0, message(1, "PAID", 1, "C7"))
+    batch = spark.read.schema(schemas.schema("claim_status_events", streaming=True)).json(str(tmp_path / "in"))
+    assert store.apply(batch, 0) == ["m"]
+    new = [str(f) for f in (tmp_path / "store").rglob("*.parquet") if f not in at_start]
+    assert at_start <= set((tmp_path / "store").rglob("*.parquet"))
+    assert sum(spark.read.parquet(f).count() for f in new) == 3  # the event, its version and the claim's state
+    assert store.current(spark).count() == 5_000
+    assert [tuple(r) for r in store.current(spark).filter("claim_status = 'PAID'").select("claim_id", "claim_amount").collect()] == [("C7", 7)]
+    assert [tuple(r) for r in store.history(spark).select("claim_id", "claim_amount", "month").collect()] == [("C7", 7, "m")]
+    assert store.history(spark, ["claim_id", "claim_status"]).collect()[0] == ("C7", "PENDING")
