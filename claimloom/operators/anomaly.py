@@ -155,17 +155,30 @@ def risk_level(points: Column, cfg: Settings) -> Column:
 
 #: What the flags depend on.
 DETECTION_INPUT = tuple("member_id provider_id claim_amount claim_status service_date diagnosis_code procedure_code".split())
-#: What the mart's detection reads of a claim; the rest of the mart's columns is looked up for flagged claims only.
+#: What the mart's detection reads of a claim; the rest of the mart's columns, the payer among them, is looked up for flagged claims
+#: only.
 CLAIM_INPUT = tuple(
-    """claim_id claim_line_id member_id provider_id payer_id claim_amount claim_status service_date submission_date
+    """claim_id claim_line_id member_id provider_id claim_amount claim_status service_date submission_date
     diagnosis_code procedure_code place_of_service""".split()
 )
 
 
-def claim_anomalies(claims: DataFrame, cfg: Settings, widen: Callable[[DataFrame, list[str]], DataFrame]) -> DataFrame:
-    """The anomaly mart of ``claims`` (``CLAIM_INPUT``). ``widen`` adds the dimension columns to flagged claims."""
-    flagged = detect(claims, cfg).filter("has_anomaly")
-    found = widen(flagged, [*MART_INPUT, *[flag for flag, _, _ in FLAGS], "anomaly_reasons"])
+def claim_anomalies(
+    claims: DataFrame,
+    cfg: Settings,
+    widen: Callable[[DataFrame, list[str]], DataFrame],
+    columns: Sequence[str] = MART_INPUT,
+) -> DataFrame:
+    """The anomaly mart of ``claims`` (``CLAIM_INPUT``), or some ``columns`` of it beside flags, reasons, amount, score and level.
+    ``widen`` adds the dimension columns to flagged claims. The claim columns that detection and ``columns`` need are written once,
+    so that the claims' own joins run once and not for every flag."""
+    wanted = [c for c in MART_INPUT if c in columns or c == "claim_amount"]
+    apart = {"submission_date", "place_of_service", "procedure_code", "claim_id", "claim_line_id"}  # nothing but the mart reads them
+    ids = {"claim_id", "claim_line_id"} if "claim_line_key" in wanted else set()
+    read = {*wanted, *ids, *cfg.duplicate_keys, *cfg.frequent_keys}
+    shared = written(claims.select(*[c for c in claims.columns if c in read or c not in apart]), "claims")
+    flagged = detect(shared, cfg).filter("has_anomaly")
+    found = widen(flagged, [*wanted, *[flag for flag, _, _ in FLAGS], "anomaly_reasons"])
     scored = found.withColumn("anomaly_score", score(cfg))
     rated = scored.withColumn("anomaly_risk_level", risk_level(F.col("anomaly_score"), cfg))
     return rated.withColumn("requires_investigation", F.col("anomaly_risk_level") == "HIGH")

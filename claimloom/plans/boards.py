@@ -220,7 +220,7 @@ _INVESTIGATE = n_if("requires_investigation")
         max(claim_amount) AS max_anomaly_amount FROM ({ANOMALY_MART})""",
 )
 def _(t):
-    return d.anomaly_summary(anomaly_mart(t))
+    return d.anomaly_summary(anomaly_mart(t, []))
 
 
 @query(
@@ -249,7 +249,7 @@ def _(t):
         FROM ({ANOMALY_MART}) GROUP BY 1""",
 )
 def _(t):
-    return d.risk_breakdown(anomaly_mart(t))
+    return d.risk_breakdown(anomaly_mart(t, []))
 
 
 _TIES = ["claim_line_key", "claim_amount", "provider_id", "procedure_code", "submission_date"]
@@ -263,7 +263,8 @@ _TIES = ["claim_line_key", "claim_amount", "provider_id", "procedure_code", "sub
         ORDER BY anomaly_score DESC, service_date DESC, {', '.join(_TIES)} LIMIT 50""",
 )
 def _(t):
-    return d.investigation_queue(anomaly_mart(t), _TIES)
+    columns = ["claim_id", "provider_specialty_category", "payer_type", "service_date", *_TIES]
+    return d.investigation_queue(anomaly_mart(t, columns), _TIES)
 
 
 @query(

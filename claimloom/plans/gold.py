@@ -134,8 +134,13 @@ def member_mart(t, period=None):
     return marts.member_utilization(fact if period is None else period(fact, t.as_of), t.frames, t.cfg)
 
 
-def anomaly_mart(t):
-    return anomaly.claim_anomalies(t.claims(anomaly.CLAIM_INPUT), t.cfg, lambda rows, columns: t.fact(columns, rows))
+def anomaly_mart(t, columns=anomaly.MART_INPUT):
+    """The mart, or some of its claim and dimension columns: dimensions that none of them comes from are not joined."""
+
+    def widen(rows, columns):
+        return t.fact(columns, t.with_payer(rows) if "payer_type" in columns else rows)
+
+    return anomaly.claim_anomalies(t.claims(anomaly.CLAIM_INPUT), t.cfg, widen, columns)
 
 
 @query("a01_provider_performance", PROVIDER_MART)
@@ -349,7 +354,7 @@ def _(t):
     f"""SELECT anomaly_risk_level, COUNT(*) AS row_count FROM ({ANOMALY_MART}) GROUP BY anomaly_risk_level""",
 )
 def _(t):
-    return marts.distribution(anomaly_mart(t), "anomaly_risk_level")
+    return marts.distribution(anomaly_mart(t, []), "anomaly_risk_level")
 
 
 @query(

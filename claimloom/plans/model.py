@@ -158,6 +158,17 @@ class Tables:
         lookups = [
             Lookup("orders", "l_orderkey", "o_orderkey", {c: c for c in ORDER}, self._orders),
             Lookup("part", "l_partkey", "p_partkey", {"diagnosis_code": "p_type"}, lambda: self.table("part")),
+            *self._payers(),
+        ]
+        reason = Derived(
+            ("claim_status", "order_priority"),
+            lambda: F.when(F.col("claim_status") == "DENIED", F.col("order_priority")),
+        )
+        keys = {c: Derived((number,), lambda c=c: F.expr(CLAIM[c])) for c, number in KEY_NUMBERS.items()}
+        return star(base, lookups, {**keys, "denial_reason": reason}, columns)
+
+    def _payers(self) -> list[Lookup]:
+        return [
             Lookup("customer", "member_id", "c_custkey", {"nation_key": "c_nationkey"}, lambda: self.table("customer")),
             Lookup(
                 "nation",
@@ -168,12 +179,10 @@ class Tables:
                 source=lambda: self.table("nation"),
             ),
         ]
-        reason = Derived(
-            ("claim_status", "order_priority"),
-            lambda: F.when(F.col("claim_status") == "DENIED", F.col("order_priority")),
-        )
-        keys = {c: Derived((number,), lambda c=c: F.expr(CLAIM[c])) for c, number in KEY_NUMBERS.items()}
-        return star(base, lookups, {**keys, "denial_reason": reason}, columns)
+
+    def with_payer(self, claims: DataFrame) -> DataFrame:
+        """``claims`` without a payer, with that of their member."""
+        return star(claims, self._payers(), {}, [*claims.columns, "payer_id"])
 
     def _orders(self) -> DataFrame:
         return self.table("orders").select("o_orderkey", *exprs(ORDER))

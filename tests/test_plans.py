@@ -1,8 +1,9 @@
 """Plans that must hold at any size."""
 
 import pytest
+from pyspark.sql import functions as F
 
-from claimloom.operators import dashboards, marts
+from claimloom.operators import anomaly, dashboards, marts
 from claimloom.plans import catalog, streams
 from claimloom.plans.model import Tables
 from claimloom.sources.scratch import written
@@ -81,3 +82,12 @@ def test_patients_are_made_unique_by_keys(spark):
     both = fact.join(members, "member_id", "left")
     rows = lambda df: sorted(map(str, df.collect()))
     assert rows(kpis.patient_mix(fact, ["age", "state"], members=members)) == rows(kpis.patient_mix(both, ["age", "state"]))
+
+
+def test_anomalies_look_up_the_payer_for_flagged_claims_only(spark):
+    """The level needs no dimension; the mart's payer joins the flagged claims, not all."""
+    text = plan(catalog.queries()["a14_risk_insight"](spark, FOLDER))
+    assert "customer.parquet" not in text and "supplier.parquet" not in text
+    assert "payer_id" not in anomaly.CLAIM_INPUT
+    text = plan(catalog.queries()["a04_claim_anomalies"](spark, FOLDER))
+    assert "customer.parquet" in text and "orders.parquet" not in text  # the claims' own joins ran once, before
