@@ -27,8 +27,12 @@ def cents(c: Column | str) -> Column:
     return _scaled(c, _CENT)
 
 
+def from_cents(c: Column | str) -> Column:
+    return _col(c) / F.lit(float(_CENT))
+
+
 def money_sum(c: Column | str) -> Column:
-    return F.sum(cents(c)) / F.lit(float(_CENT))
+    return from_cents(F.sum(cents(c)))
 
 
 def money_avg(c: Column | str) -> Column:

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimloom.config import OTHER, Settings
 from claimloom.functions import fields as x
-from claimloom.functions.exact import count_stddev, money_avg, money_sum, rate_avg, ratio
+from claimloom.functions.exact import cents, count_stddev, from_cents, money_avg, money_sum, rate_avg, ratio
 from claimloom.operators.dashboards import denial_pct
 from claimloom.operators.fact import Frames, calendar, lookups
 from claimloom.operators.ranking import with_row_number, with_row_numbers
@@ -44,7 +44,7 @@ DENIAL_INPUT = DENIAL_ATTRIBUTES + tuple(
 # What the denial mart reads when its distinct counts are not wanted.
 DENIAL_TOTALS_INPUT = DENIAL_ATTRIBUTES + tuple("service_date claim_amount is_denied_claim processing_delay_days".split())
 MEMBER_INPUT = tuple(
-    """member_id service_date claim_status claim_amount paid_amount denied_amount is_high_value_claim
+    """member_id service_date claim_status claim_amount
     provider_sk provider_specialty_category payer_sk diagnosis_code procedure_code
     processing_delay_days""".split()
 )
@@ -115,7 +115,7 @@ def denials_within(fact: DataFrame, payer_type: str | None = None, first: Column
 
 def denial_trends(fact: DataFrame, *, distinct: bool = True) -> DataFrame:
     """Denials and totals per group. Totals come from all claims in one narrow aggregation; only the
-    denied claims go through the distinct counts, which multiply their input. Both sides are
+    denied claims go through the distinct counts. Both sides are
     hash-partitioned by the same struct, so joining them moves no rows, and null keys compare equal.
     Without ``distinct`` there is the first aggregation alone; ``fact`` then needs ``DENIAL_TOTALS_INPUT`` only."""
     key = F.struct(F.trunc("service_date", "MM").alias("month"), *DENIAL_ATTRIBUTES).alias("__key")
@@ -138,11 +138,8 @@ def denial_trends(fact: DataFrame, *, distinct: bool = True) -> DataFrame:
     )
     joined = totals.filter("denied_claims_count > 0")
     if distinct:
-        counts = rows.filter(denied).groupBy("__key").agg(
-            F.count_distinct("provider_sk").alias("unique_providers"),
-            F.count_distinct("member_sk").alias("unique_members"),
-            F.count_distinct("claim_id").alias("unique_claims_denied"),
-        )
+        unique = {"unique_providers": "provider_sk", "unique_members": "member_sk", "unique_claims_denied": "claim_id"}
+        counts = grouped_once(rows.filter(denied).select("__key", *ids), ["__key"], {}, unique)
         joined = joined.join(counts, "__key")
     month = F.col("__key.month")
     measures = [c for c in joined.columns if c != "__key"]
@@ -165,24 +162,58 @@ def denial_trends(fact: DataFrame, *, distinct: bool = True) -> DataFrame:
 
 def member_utilization(fact: DataFrame, frames: Frames, cfg: Settings) -> DataFrame:
     """Member by month, grouped by those two alone as in ``provider_performance``."""
-    totals = fact.groupBy("member_id", _month()).agg(
-        F.count("*").alias("total_claims"),
-        money_sum("claim_amount").alias("total_claim_amount"),
-        money_avg("claim_amount").alias("avg_claim_amount"),
-        F.max("claim_amount").alias("max_claim_amount"),
-        money_sum("paid_amount").alias("total_paid_amount"),
-        money_sum("denied_amount").alias("total_denied_amount"),
-        _status_count("PAID").alias("paid_claims"),
-        _status_count("DENIED").alias("denied_claims"),
-        F.count_if("is_high_value_claim").alias("high_value_claims"),
-        F.count_distinct("provider_sk").alias("unique_providers"),
-        _distinct_labels("provider_specialty_category", [n for n, _ in cfg.specialties] + [OTHER]).alias(
-            "unique_specialties"
-        ),
-        F.count_distinct("payer_sk").alias("unique_payers"),
-        F.count_distinct("diagnosis_code").alias("unique_diagnoses"),
-        F.count_distinct("procedure_code").alias("unique_procedures"),
-        F.avg("processing_delay_days").alias("avg_processing_delay_days"),
+    labels = [n for n, _ in cfg.specialties] + [OTHER]
+    rows = fact.select("member_id", _month(), *[c for c in MEMBER_INPUT if c not in ("member_id", "service_date")])
+    amount, status = F.col("claim_amount"), F.col("claim_status")
+
+    def number(condition: Column) -> Column:
+        return F.when(condition, F.lit(1)).otherwise(F.lit(0)).cast("long")
+
+    def of(value: str) -> Column:
+        return F.when(status == value, cents(amount)).otherwise(F.lit(0).cast("long"))
+
+    summed = grouped_once(
+        rows,
+        ["member_id", "service_date"],
+        {
+            "total_claims": (F.sum, F.lit(1).cast("long")),
+            "__cents": (F.sum, cents(amount)),
+            "__amounts": (F.sum, number(amount.isNotNull())),
+            "max_claim_amount": (F.max, amount),
+            "__paid": (F.sum, of("PAID")),
+            "__denied": (F.sum, of("DENIED")),
+            "paid_claims": (F.sum, number(status == "PAID")),
+            "denied_claims": (F.sum, number(status == "DENIED")),
+            "high_value_claims": (F.sum, number(amount > cfg.high_value)),
+            "__labels": (F.bit_or, _label_bits("provider_specialty_category", labels)),
+            "__delay": (F.sum, F.col("processing_delay_days").cast("long")),
+            "__delays": (F.sum, number(F.col("processing_delay_days").isNotNull())),
+        },
+        {
+            "unique_providers": "provider_sk",
+            "unique_payers": "payer_sk",
+            "unique_diagnoses": "diagnosis_code",
+            "unique_procedures": "procedure_code",
+        },
+    )
+    totals = summed.select(
+        "member_id",
+        "service_date",
+        "total_claims",
+        from_cents("__cents").alias("total_claim_amount"),
+        F.try_divide(from_cents("__cents"), F.col("__amounts")).alias("avg_claim_amount"),
+        "max_claim_amount",
+        from_cents("__paid").alias("total_paid_amount"),
+        from_cents("__denied").alias("total_denied_amount"),
+        "paid_claims",
+        "denied_claims",
+        "high_value_claims",
+        "unique_providers",
+        F.bit_count("__labels").cast("long").alias("unique_specialties"),
+        "unique_payers",
+        "unique_diagnoses",
+        "unique_procedures",
+        ratio("__delay", "__delays").alias("avg_processing_delay_days"),
     )
     rated = _with_rates(
         _widened(totals, frames, MEMBER_KEYS),
@@ -202,13 +233,42 @@ def member_utilization(fact: DataFrame, frames: Frames, cfg: Settings) -> DataFr
     )
 
 
-def _distinct_labels(column: str, labels: Sequence[str]) -> Column:
-    """Distinct count over a closed label list: one bit per label, so it costs no further copy of
+def _label_bits(column: str, labels: Sequence[str]) -> Column:
+    """One bit per label of a closed list: the bits of a group say how many labels it has, so that costs no further copy of
     the rows as another distinct count would."""
     bit = F.lit(0)
     for position, label in enumerate(labels):
         bit = F.when(F.col(column) == label, F.lit(1 << position)).otherwise(bit)
-    return F.bit_count(F.bit_or(bit)).cast("long")
+    return bit
+
+
+Measures = Mapping[str, tuple[Callable[[Column], Column], Column]]
+
+
+def grouped_once(rows: DataFrame, keys: Sequence[str], measures: Measures, distinct: Mapping[str, str]) -> DataFrame:
+    """One row per group with ``measures`` (name: aggregate and value; sums, extremes and the like, which may be taken of partial
+    results) and distinct counts (name: column). For groups of few rows, where combining before a shuffle saves nothing: rows move
+    once, by the group's keys, and are copied for the distinct counts behind the shuffle, where plain ``count_distinct`` moves a copy
+    per count and then the groups. Null keys are a group; the rows of a group meet in one task, which aggregates them in a hash table
+    that spills, so a large group costs time there and no memory."""
+    moved = rows.repartition(*[F.col(k) for k in keys])
+    schema, values = rows.schema, dict.fromkeys(distinct.values())
+
+    def copy(kind: int) -> Column:
+        kept = [(F.col(c) if kind == k else F.lit(None).cast(schema[c].dataType)).alias(f"__v{k}") for k, c in enumerate(values, 1)]
+        given = [(value if kind == 0 else F.when(F.lit(False), value)).alias(f"__m_{name}") for name, (_, value) in measures.items()]
+        return F.struct(F.lit(kind).alias("__kind"), *kept, *given)
+
+    kinds = range(0 if measures else 1, len(values) + 1)
+    copies = moved.select(*keys, F.explode(F.array(*[copy(k) for k in kinds])).alias("__row")).select(*keys, "__row.*")
+    once = copies.groupBy(*keys, "__kind", *[f"__v{k}" for k in range(1, len(values) + 1)]).agg(
+        F.count("*").alias("__n"), *[how(F.col(f"__m_{name}")).alias(f"__m_{name}") for name, (how, _) in measures.items()]
+    )
+    place = {c: k for k, c in enumerate(values, 1)}
+    return once.groupBy(*keys).agg(
+        *[how(F.col(f"__m_{name}")).alias(name) for name, (how, _) in measures.items()],
+        *[F.count_if((F.col("__kind") == place[c]) & F.col(f"__v{place[c]}").isNotNull()).alias(name) for name, c in distinct.items()],
+    )
 
 
 # -- second layer ----------------------------------------------------------------------------------

@@ -84,6 +84,23 @@ def test_patients_are_made_unique_by_keys(spark):
     assert rows(kpis.patient_mix(fact, ["age", "state"], members=members)) == rows(kpis.patient_mix(both, ["age", "state"]))
 
 
+def test_distinct_counts_move_rows_once(spark):
+    """Several distinct counts beside sums: one exchange, by the group's keys; null keys are a group, null values do not count."""
+    rows = spark.sql(
+        """SELECT CASE WHEN id % 5 > 0 THEN id % 5 END AS k, CASE WHEN id % 3 > 0 THEN id % 7 END AS a,
+        CASE WHEN id % 4 > 0 THEN concat('x', id % 11) END AS b, CAST(NULL AS INT) AS c, id AS n FROM range(200)"""
+    )
+    got = marts.grouped_once(rows, ["k"], {"n": (F.sum, F.col("n")), "most": (F.max, F.col("n"))}, {"x": "a", "y": "b", "z": "c"})
+    want = rows.groupBy("k").agg(
+        F.sum("n"), F.max("n"), F.count_distinct("a"), F.count_distinct("b"), F.count_distinct("c")
+    )
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, map(tuple, want.collect())))
+    t = Tables(spark, FOLDER)
+    mart = marts.member_utilization(written(t.fact(marts.MEMBER_INPUT), "plan"), t.frames, t.cfg)
+    text = plan(mart)
+    assert text.count("hashpartitioning(member_id#") + text.count("hashpartitioning(__key#") == 1 and "Expand" not in text
+
+
 def test_anomalies_look_up_the_payer_for_flagged_claims_only(spark):
     """The level needs no dimension; the mart's payer joins the flagged claims, not all."""
     text = plan(catalog.queries()["a14_risk_insight"](spark, FOLDER))
