@@ -7,8 +7,9 @@ items are TF-IDF vectors in it, with document frequencies counted over the passa
 weight, however frequent it is. A randomised singular value decomposition
 gives the latent space: each task multiplies its passages with a random matrix, sums of these small products and a
 second pass with the orthonormal basis give the leading directions. It is fitted on the items and every passage of all distinct
-texts, whose terms are written once and read by both passes; every passage of every text is then projected and searched. Passages whose cosine to a part reaches
-``COSINE`` and that hold ``OVERLAP`` of the part's terms are candidates. (Some passage holds three quarters of the part's words.)
+texts, whose terms are written once and read by both passes; every passage of every text is then searched. Passages whose cosine to a part reaches
+``COSINE`` and that hold ``OVERLAP`` of the part's terms are candidates; a passage with fewer terms of all parts of its size
+than the least that any of them asks for can be none, so it is not projected. (Some passage holds three quarters of the part's words.)
 The whole item is then compared around the place that the part gives it; places that overlap are one. It counts if the longest common subsequence of words, within a stretch of one and a half times the
 item's length, covers ``COVER`` of the item, or, for paraphrases, ``LOOSE`` of it and ``ANSWER`` of its answer (its last words).
 
@@ -85,19 +86,30 @@ def _passages(limits: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _counted(at, term, limits, width: int, size: int = PASSAGE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Sparse passage-term counts (passage, term, times), sorted by passage; first word and text of the passages. ``at`` and
-    ``term``: places of the words that are among the ``width`` terms, and which they are."""
+    ``term``: places, ascending, of the words that are among the ``width`` terms, and which they are."""
     first, text = _passages(limits, size)
-    owner = np.searchsorted(limits, at, "right") - 1
-    base = np.searchsorted(text, owner)
-    place = (at - limits[owner]) // (size // 2)
-    count = np.bincount(text, minlength=len(limits) - 1)[owner] if len(text) else np.zeros(0, np.int64)
+    owner = np.repeat(np.arange(len(limits) - 1), np.diff(np.searchsorted(at, limits)))
+    count = np.bincount(text, minlength=len(limits) - 1)
+    base, place, count = (np.cumsum(count) - count)[owner], (at - limits[owner]) // (size // 2), count[owner]
     keys = []
     for back in range(2):  # the passages that hold the word
         mine = place - back
         good = (mine >= 0) & (mine < count)
         keys.append((base[good] + mine[good]) * width + term[good])
-    keys, times = np.unique(np.concatenate(keys) if keys else np.zeros(0, np.int64), return_counts=True)
-    return keys // width, keys % width, times, first, text
+    keys = np.concatenate(keys)
+    keys.sort()
+    turn = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    passage, term = np.divmod(keys[turn], width)
+    return passage, term, np.diff(np.append(turn, len(keys))), first, text
+
+
+def _able(passage, term, held: np.ndarray, least: int) -> np.ndarray:
+    """Of the sparse counts those of passages with ``least`` terms that are marked in ``held``."""
+    if not len(passage):
+        return np.zeros(0, bool)
+    turn = np.flatnonzero(np.append(True, passage[1:] != passage[:-1]))
+    enough = np.add.reduceat(held[term].astype(np.int32), turn) >= least
+    return np.repeat(enough, np.diff(np.append(turn, len(passage))))
 
 
 def _weighted(passage, term, times, idf) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -109,13 +121,7 @@ def _projected(passage, term, value, basis: np.ndarray) -> tuple[np.ndarray, np.
     if not len(passage):
         return passage, np.zeros((0, basis.shape[1]), np.float32)
     turn = np.flatnonzero(np.append(True, passage[1:] != passage[:-1]))
-    out = np.empty((len(turn), basis.shape[1]), np.float32)
-    ends = np.append(turn, len(passage))
-    for a in range(0, len(turn), 8192):
-        b = min(a + 8192, len(turn))
-        rows = slice(ends[a], ends[b])
-        out[a:b] = np.add.reduceat(basis[term[rows]] * value[rows, None], turn[a:b] - ends[a])
-    return passage[turn], out
+    return passage[turn], shared.row_sums(basis, term, value, turn)
 
 
 def _term_lists(terms: Terms):
@@ -213,7 +219,7 @@ def _product(passage, term, value, basis, back: bool) -> np.ndarray:
     which, y = _projected(passage, term, value, basis)
     if not len(which):
         return np.zeros((len(basis) if back else basis.shape[1], basis.shape[1]))
-    at = np.searchsorted(which, passage)
+    at = np.cumsum(np.append(False, passage[1:] != passage[:-1]))
     size = np.sqrt(np.bincount(at, value.astype(np.float64) ** 2))
     if not back:
         y = y / size[:, None]
@@ -221,8 +227,8 @@ def _product(passage, term, value, basis, back: bool) -> np.ndarray:
     out = np.zeros((len(basis), basis.shape[1]))
     order = np.argsort(term, kind="stable")
     first = np.flatnonzero(np.append(True, term[order][1:] != term[order][:-1]))
-    rows = y[at[order]] * (value[order] / size[at[order]] ** 2)[:, None]
-    out[term[order][first]] = np.add.reduceat(rows, first)
+    at = at[order]
+    out[term[order][first]] = shared.row_sums(y, at, (value[order] / size[at] ** 2).astype(np.float32), first)
     return out
 
 
@@ -266,14 +272,17 @@ class Index:
         for size in np.unique(self.parts[:, 2]).tolist():
             mine = np.flatnonzero(self.parts[:, 2] == size)
             passage, term, times, first, text = _counted(at, known, limits, len(self.idf), size)
-            passage, term, value = _weighted(passage, term, times, self.idf)
+            held = np.zeros(len(self.idf), bool)
+            held[(self.held % len(self.idf))[np.isin(self.held // len(self.idf), mine)]] = True
+            able = _able(passage, term, held, need[mine].min())
+            passage, term, value = _weighted(passage[able], term[able], times[able], self.idf)
             which, y = _projected(passage, term, value, self.basis)
-            y /= np.maximum(np.linalg.norm(y, axis=1), 1e-12)[:, None]
+            y /= np.maximum(np.sqrt(np.einsum("ij,ij->i", y, y)), 1e-12)[:, None]
             ends = np.append(np.searchsorted(passage, which), len(passage))
             latent, rows = self.latent[mine].T, max(1, (1 << 23) // len(mine))
             for a in range(0, len(which), rows):
                 close = y[a : a + rows] @ latent
-                row, part = np.nonzero(close >= cosine)
+                row, part = np.divmod(np.flatnonzero(close >= cosine), len(mine))
                 for b in range(0, len(row), 1 << 15):
                     r, m = a + row[b : b + (1 << 15)], mine[part[b : b + (1 << 15)]]
                     good = np.flatnonzero(self._shared(m, ends[r], ends[r + 1], term) >= need[m])

@@ -168,3 +168,25 @@ def test_space_is_fitted_on_every_distinct_text(spark):
     for back in (True, False):
         want = (x.T if back else (x @ basis).T) @ (x @ basis)
         assert np.allclose(decontaminate._summed(lists, idf, basis, back), want, rtol=1e-3, atol=1e-3 * np.abs(want).max())
+
+
+def test_passages_that_can_hold_no_part_are_not_projected(spark, monkeypatch):
+    """They are no candidates whatever their cosine; the candidates are those of a search without the test."""
+    import numpy as np
+    import pyarrow as pa
+
+    items, rows, want = planted()
+    rnd = random.Random(5)
+    rows += [(9000 + k, " ".join(f"foreign{rnd.randrange(900)}" if rnd.random() < 0.95 else items[0][1].split()[0] for _ in range(300))) for k in range(300)]
+    index = next(decontaminate._indexes(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")))
+    words, limits = decontaminate._words(pa.array([t for _, t in rows]))
+    projected, seen = decontaminate._projected, []
+    monkeypatch.setattr(decontaminate, "_projected", lambda passage, *rest: seen.append(len(np.unique(passage))) or projected(passage, *rest))
+    near = list(index.near(words, limits))
+    at, term = index.terms.find(words)
+    sizes = np.unique(index.parts[:, 2]).tolist()
+    every = [len(np.unique(decontaminate._counted(at, term, limits, len(index.idf), size)[0])) for size in sizes]
+    assert len(seen) == len(sizes) and sum(seen) < 0.8 * sum(every)
+    monkeypatch.setattr(decontaminate, "_able", lambda passage, *rest: np.ones(len(passage), bool))
+    whole = list(index.near(words, limits))
+    assert near and [x[:3] for x in near] == [x[:3] for x in whole] and np.allclose([x[3] for x in near], [x[3] for x in whole], atol=1e-5)
