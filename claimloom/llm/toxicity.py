@@ -130,7 +130,7 @@ def _close(words: list[str], width: int, keys, slots, features) -> np.ndarray:
     row, at, weight = row[order], at[order], weight[order]
     if len(row):
         first = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
-        out[row[first]] = np.add.reduceat(features[at] * weight[:, None], first)
+        out[row[first]] = shared.row_sums(features, at, weight, first)
     return out
 
 

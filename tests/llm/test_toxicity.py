@@ -72,3 +72,35 @@ def test_texts_are_scored_in_small_pieces(monkeypatch):
     out = list(toxicity._scored(model)(iter([pa.record_batch([pa.array(texts)], names=["text"])])))
     assert model.constant is None and sum(sizes) == sum(map(len, texts)) and max(sizes) <= 1 << 20
     assert np.array_equal(np.concatenate([b.column("_score").to_numpy() for b in out])[-50:], whole.to_numpy())
+
+
+def test_closeness_is_the_kernel_and_sums_by_rows(monkeypatch):
+    """Every three-character subsequence that a word and a landmark share, by hand."""
+    import itertools
+
+    import numpy as np
+
+    from claimloom.llm import shared
+
+    def weights(word):
+        found = {}
+        for i, j, k in itertools.combinations(range(len(word)), 3):
+            if k - i < toxicity.SPAN:
+                key = word[i], word[j], word[k]
+                found[key] = found.get(key, 0) + toxicity.DECAY ** (k - i + 1)
+        return found
+
+    landmarks, rnd = ["^idiot", "^stup", "^moron"], random.Random(4)
+    words = ["^" + "".join(rnd.choices("idotsupmrn.", k=rnd.randrange(1, 31))) for _ in range(2000)]
+    told = [weights(x) for x in landmarks]
+    want = np.zeros((len(words), len(landmarks)))
+    for row, word in enumerate(words):
+        mine = [(i, j, k) for i, j, k in itertools.combinations(range(len(word)), 3) if k - i < toxicity.SPAN]
+        hits = [(k - i, (word[i], word[j], word[k])) for i, j, k in mine if any((word[i], word[j], word[k]) in x for x in told)]
+        if len(hits) >= 3:
+            for n, x in enumerate(told):
+                want[row, n] = sum(toxicity.DECAY ** (span + 1) * x.get(key, 0) for span, key in hits) / sum(w * w for w in x.values())
+    called, sums = [], shared.row_sums
+    monkeypatch.setattr(shared, "row_sums", lambda *told: called.append(1) or sums(*told))
+    got = toxicity.closeness(words, *toxicity._index(landmarks))
+    assert called and np.allclose(got, want, rtol=1e-4, atol=1e-5) and (want > 0).any(axis=1).mean() > 0.2
