@@ -43,6 +43,11 @@ LONGEST = 64
 KNOWN = 1 << 18
 #: Scripts in which the pattern library's letters and digits are those of the tokenizer library, whatever their Unicode versions.
 _COMMON = regex.compile("[\x00-ԯ]*")
+#: Scripts whose texts are composed as they stand (no combining marks, none with another form), with one small letter for each capital.
+_COMPOSED = re.compile("[\x00-\u02ff]*")
+#: Steps of normalising that such a text needs only the last of, and the words for which this holds: none has a blank in it.
+_STEPS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 @dataclass(frozen=True)
@@ -80,8 +85,11 @@ def splitter(tokenizer: Tokenizer) -> Callable[[str], list[str]]:
     find = regex.compile(tokenizer.pattern).findall
     every = tokenizers.pre_tokenizers.Split(tokenizers.Regex(tokenizer.pattern), "removed", invert=True).pre_tokenize_str
     added = re.compile("|".join(map(re.escape, tokenizer.added)) or "(?!)")
+    quick = tokenizer.pattern == _WORDS and json.loads(tokenizer.source)["normalizer"] == {"type": "Sequence", "normalizers": _STEPS}
 
     def plain(text: str) -> list[str]:
+        if quick and _COMPOSED.fullmatch(text):
+            return find(text.lower())
         text = normalize(text)
         return find(text) if _COMMON.fullmatch(text) else [word for word, _ in every(text)]
 

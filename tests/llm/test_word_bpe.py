@@ -110,3 +110,28 @@ def test_transducer_is_minimal(tmp_path):
 def test_empty_lexicon(tmp_path):
     is_held, sizes, numbers = read_back(tmp_path, {}).look_up([b"a", b""])
     assert not is_held.any() and not sizes.any() and not len(numbers)
+
+
+def test_composed_texts_are_split_without_the_normalizer(tokenizer, library, monkeypatch):
+    """Every code point below the combining marks between others; only texts beyond go through the library's normalizer."""
+    import tokenizers
+
+    seen = []
+
+    class Watched:
+        def __init__(self, inner):
+            self.normalizer = self
+            self.normalize_str = lambda text: seen.append(text) or inner.normalizer.normalize_str(text)
+
+    real = Tokenizer.from_str(tokenizer.source)
+    monkeypatch.setattr(tokenizers, "Tokenizer", type("T", (), {"from_str": staticmethod(lambda source: Watched(real))}))
+    rnd = random.Random(6)
+    texts = [f"a{c}B {c}{c}\t1{c}2 '{c}S .{c}.{c}" for c in map(chr, range(0x300))]
+    texts += ["".join(rnd.choices([*map(chr, range(0x300)), *"'sStT \n"], k=40)) for _ in range(2000)]
+    beyond = ["ę́ É", "ΟΔΟΣ", "К̆ かな"]
+    split, merge = word_bpe.splitter(tokenizer), word_bpe.merger(tokenizer)
+    for text in texts + beyond:
+        assert [x for word in split(text) for x in merge(word)] == library.encode(text, add_special_tokens=False).ids
+    assert seen == beyond
+    other = word_bpe.splitter(word_bpe.Tokenizer(tokenizer.source, r"\s|\S", *[getattr(tokenizer, k) for k in ("end", "vocabulary", "merges", "added")]))
+    assert other("A \t b") == ["a", " ", "b"] and seen == [*beyond, "A \t b"]
