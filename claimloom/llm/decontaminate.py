@@ -228,7 +228,7 @@ def _product(passage, term, value, basis, back: bool) -> np.ndarray:
     order = np.argsort(term, kind="stable")
     first = np.flatnonzero(np.append(True, term[order][1:] != term[order][:-1]))
     at = at[order]
-    out[term[order][first]] = shared.row_sums(y, at, (value[order] / size[at] ** 2).astype(np.float32), first)
+    out[term[order][first]] = shared.row_sums(y, at, value[order] / size[at] ** 2, first)
     return out
 
 
@@ -277,7 +277,7 @@ class Index:
             able = _able(passage, term, held, need[mine].min())
             passage, term, value = _weighted(passage[able], term[able], times[able], self.idf)
             which, y = _projected(passage, term, value, self.basis)
-            y /= np.maximum(np.sqrt(np.einsum("ij,ij->i", y, y)), 1e-12)[:, None]
+            y /= np.maximum(np.linalg.norm(y, axis=1), 1e-12)[:, None]
             ends = np.append(np.searchsorted(passage, which), len(passage))
             latent, rows = self.latent[mine].T, max(1, (1 << 23) // len(mine))
             for a in range(0, len(which), rows):

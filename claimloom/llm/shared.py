@@ -20,8 +20,8 @@ PIECE = 4 << 20
 SPAN = 1 << 18
 #: Words are named by polynomials over the field of this many elements, taken at the point.
 PRIME = (1 << 61) - 1
-#: Rows of a table that are added into one sum before sums are added, and sums that are made together.
-LONGEST_SUM, SUMS = 64, 1024
+#: Entries of a sparse matrix that are multiplied at once; a longer row is one step by itself.
+ENTRIES = 1 << 13
 
 _POINT = 0x0D1B54A32D192ED0
 _BASE = 0x9E3779B97F4A7C15
@@ -221,26 +221,19 @@ def lists(values: np.ndarray, counts: np.ndarray) -> pa.ListArray:
 
 
 def row_sums(table: np.ndarray, rows: np.ndarray, weights: np.ndarray, firsts: np.ndarray) -> np.ndarray:
-    """For each stretch that begins at ``firsts`` the sum of ``weights[k] * table[rows[k]]``: a sparse matrix times a dense one. All
-    stretches take one step together, the longer ones first, so that those with steps left stand at the head."""
-    sizes = np.diff(np.append(firsts, len(rows)))
+    """For each stretch that begins at ``firsts`` the sum of ``weights[k] * table[rows[k]]``: a sparse matrix times a dense one. It is
+    worked out column by column, as what is summed then lies side by side."""
     kind = np.result_type(table, weights)
-    if sizes.max(initial=0) > LONGEST_SUM:
-        parts = -(-sizes // LONGEST_SUM)
-        heads = np.cumsum(parts) - parts
-        place = np.arange(int(parts.sum())) - np.repeat(heads, parts)
-        sums = row_sums(table, rows, weights, np.repeat(firsts, parts) + LONGEST_SUM * place)
-        return row_sums(sums, np.arange(len(sums)), np.ones(len(sums), kind), heads)
-    out = np.empty((len(firsts), table.shape[1]), kind)
-    for a in range(0, len(firsts), SUMS):
-        order = a + np.argsort(-sizes[a : a + SUMS], kind="stable")
-        first, left = firsts[order], np.bincount(sizes[order], minlength=1)
-        left = len(order) - np.cumsum(left)  # stretches with more entries than the step's number
-        sums, one = np.zeros((len(order), table.shape[1]), kind), np.empty((len(order), table.shape[1]), kind)
-        for step, n in enumerate(left[:-1].tolist()):
-            at = first[:n] + step
-            sums[:n] += np.multiply(table[rows[at]], weights[at, None], out=one[:n])
-        out[order] = sums
+    columns, ends = np.ascontiguousarray(table.T), np.append(firsts, len(rows))
+    out, at = np.empty((len(firsts), table.shape[1]), kind), 0
+    while at < len(firsts):
+        end = max(at + 1, int(np.searchsorted(ends, ends[at] + ENTRIES, "right")) - 1)
+        some = slice(ends[at], ends[end])
+        parts = np.empty((len(columns), some.stop - some.start), table.dtype)
+        np.take(columns, rows[some], axis=1, out=parts, mode="clip")  # all are inside; this mode writes without a copy
+        parts = np.multiply(parts, weights[some], out=parts if kind == table.dtype else None)
+        out[at:end] = np.add.reduceat(parts, ends[at:end] - ends[at], axis=1).T
+        at = end
     return out
 
 
