@@ -44,7 +44,7 @@ COVER, LOOSE, ANSWER = 0.8, 0.6, 0.8
 ANSWER_WORDS = 8
 FIT_TEXTS = 2000
 _SEED = 17
-PIECE = 1 << 20  # bytes of written lists that a task works on at once
+PIECE = 1 << 20  # bytes of texts or written lists that a task works on at once
 _ROWS = 16  # rows of a matrix that are summed together
 
 
@@ -56,22 +56,30 @@ def _words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Terms:
-    """Sorted names of the benchmark's words, and a table from 20 bits to whether some word has them."""
+    """Sorted names of the benchmark's words; for each value of their first 16 bits how many names are below it, and how many have it."""
 
     names: np.ndarray
-    bits: np.ndarray
+    below: np.ndarray
+    count: np.ndarray
 
     @classmethod
     def of(cls, names: np.ndarray) -> Terms:
-        names, bits = np.unique(names), np.zeros(1 << 20, bool)
-        bits[names >> np.uint64(44)] = True
-        return cls(names, bits)
+        names = np.unique(names)
+        count = np.bincount((names >> np.uint64(48)).astype(np.int64), minlength=1 << 16).astype(np.int32)
+        return cls(names, (np.cumsum(count) - count).astype(np.int32), count)
 
     def find(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places of the words that are terms, and which terms they are."""
-        at = np.flatnonzero(self.bits[words >> np.uint64(44)])
-        term = np.minimum(np.searchsorted(self.names, words[at]), len(self.names) - 1)
-        good = self.names[term] == words[at]
+        some = words >> np.uint64(48)
+        at = np.flatnonzero(self.count[some] > 0)
+        some, sought = some[at], words[at]
+        term = self.below[some].astype(np.int64)
+        left = np.flatnonzero(self.names[term] != sought)
+        for k in range(1, self.count.max(initial=0)):  # the words that are not the k-th name with their bits
+            left = left[self.count[some[left]] > k]
+            term[left] += 1
+            left = left[self.names[term[left]] != sought[left]]
+        good = self.names[term] == sought
         return at[good], term[good]
 
 
@@ -90,17 +98,16 @@ def _counted(at, term, limits, width: int, size: int = PASSAGE) -> tuple[np.ndar
     first, text = _passages(limits, size)
     owner = np.repeat(np.arange(len(limits) - 1), np.diff(np.searchsorted(at, limits)))
     count = np.bincount(text, minlength=len(limits) - 1)
-    base, place, count = (np.cumsum(count) - count)[owner], (at - limits[owner]) // (size // 2), count[owner]
-    keys = []
-    for back in range(2):  # the passages that hold the word
-        mine = place - back
-        good = (mine >= 0) & (mine < count)
-        keys.append((base[good] + mine[good]) * width + term[good])
-    keys = np.concatenate(keys)
+    shift = max(1, int(width - 1).bit_length())
+    kind = np.int32 if (len(first) + 1) << shift < 1 << 31 else np.int64  # short keys are sorted faster
+    place = ((at - limits[owner]) // (size // 2)).astype(kind)
+    key = (((np.cumsum(count) - count).astype(kind)[owner] + place) << shift) + term.astype(kind)
+    # A word is in the passage whose first half it is in, the last half of a text excepted, and in the one before.
+    keys = np.concatenate([key[place < count.astype(kind)[owner]], key[place > 0] - (1 << shift)])
     keys.sort()
     turn = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
-    passage, term = np.divmod(keys[turn], width)
-    return passage, term, np.diff(np.append(turn, len(keys))), first, text
+    found = keys[turn].astype(np.int64)
+    return found >> shift, found & ((1 << shift) - 1), np.diff(np.append(turn, len(keys))), first, text
 
 
 def _able(passage, term, held: np.ndarray, least: int) -> np.ndarray:
@@ -129,7 +136,7 @@ def _term_lists(terms: Terms):
 
     def run(batches):
         for batch in batches:
-            for part in shared.pieces(batch, "text"):
+            for part in shared.pieces(batch, "text", PIECE):
                 words, limits = _words(part.column("text"))
                 at, term = terms.find(words)
                 owner = np.searchsorted(limits, at, "right") - 1
@@ -225,7 +232,7 @@ def _product(passage, term, value, basis, back: bool) -> np.ndarray:
         y = y / size[:, None]
         return (y.T @ y).astype(np.float64)
     out = np.zeros((len(basis), basis.shape[1]))
-    order = np.argsort(term, kind="stable")
+    order = np.argsort(term.astype(np.min_scalar_type(len(basis))), kind="stable")  # 16 bits are sorted by counting
     first = np.flatnonzero(np.append(True, term[order][1:] != term[order][:-1]))
     at = at[order]
     out[term[order][first]] = shared.row_sums(y, at, value[order] / size[at] ** 2, first)
@@ -406,7 +413,7 @@ def _found(index: Index, kind: pa.DataType):
 
     def run(batches):
         for batch in batches:
-            for part in shared.pieces(batch, "text"):
+            for part in shared.pieces(batch, "text", PIECE):
                 hits, ids = index.hits(part.column("text")), part.column("doc_id").to_pylist()
                 columns = [pa.array([ids[h[0]] for h in hits], part.column("doc_id").type)]
                 columns.append(pa.array([index.ids[h[1]] for h in hits], kind))
@@ -433,7 +440,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def _clean(index: Index):
     def run(batches):
         for batch in batches:
-            for part in shared.pieces(batch, "text"):
+            for part in shared.pieces(batch, "text", PIECE):
                 keep = np.ones(part.num_rows, bool)
                 keep[[h[0] for h in index.hits(part.column("text"))]] = False
                 yield part.filter(pa.array(keep))

@@ -4,6 +4,7 @@ and connected components."""
 from __future__ import annotations
 
 import ctypes
+import functools
 import gc
 
 import numpy as np
@@ -18,10 +19,12 @@ from claimloom.sources import scratch
 PIECE = 4 << 20
 #: Stretches of seven bytes that are named at once; a longer word is one step by itself.
 SPAN = 1 << 18
+#: Words of at most so many stretches are named stretch by stretch, longer ones all at once.
+FEW = 4
 #: Words are named by polynomials over the field of this many elements, taken at the point.
 PRIME = (1 << 61) - 1
-#: Entries of a sparse matrix that are multiplied at once; a longer row is one step by itself.
-ENTRIES = 1 << 13
+#: Entries of a sparse matrix that are multiplied at once, and numbers that are summed without being halved.
+ENTRIES, LEAF = 1 << 11, 128
 
 _POINT = 0x0D1B54A32D192ED0
 _BASE = 0x9E3779B97F4A7C15
@@ -99,13 +102,14 @@ def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def words(data: np.ndarray, places: np.ndarray, blank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of every word, and the number of words before each text and after the last."""
-    inside = ~blank[data]
-    before, after = np.zeros(len(data), bool), np.zeros(len(data), bool)
-    before[1:], after[:-1] = inside[:-1], inside[1:]
-    cuts = places[(places > 0) & (places < len(data))]
-    before[cuts], after[cuts - 1] = False, False
-    starts = np.flatnonzero(inside & ~before)
-    return starts, np.flatnonzero(inside & ~after) + 1, np.searchsorted(starts, places)
+    inside = np.zeros(len(data) + 2, bool)
+    np.logical_not(blank[data], out=inside[1:-1])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])  # starts and ends by turns
+    cuts = np.unique(places)
+    cuts = np.repeat(cuts[inside[cuts] & inside[cuts + 1]], 2)  # texts that end and begin within a word
+    edges = np.insert(edges, np.searchsorted(edges, cuts), cuts)
+    starts = edges[::2].copy()
+    return starts, edges[1::2].copy(), np.searchsorted(starts, places)
 
 
 def _times(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -124,7 +128,7 @@ def _least(x: np.ndarray) -> np.ndarray:
     """Numbers below 2^64 modulo ``PRIME``."""
     prime = np.uint64(PRIME)
     x = (x & prime) + (x >> np.uint64(61))
-    return np.where(x >= prime, x - prime, x)
+    return np.minimum(x, x - prime)  # below zero counts as very much
 
 
 def _powers(count: int) -> np.ndarray:
@@ -151,27 +155,27 @@ def names(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = F
     if not len(starts):
         return out
     if fold:
-        data = _lower_bytes()[data]
+        data = data + ((data - np.uint8(65) < np.uint8(26)).view(np.uint8) << np.uint8(5))
     eights = np.ndarray(len(data), "<u8", np.append(data, np.zeros(7, np.uint8)), strides=(1,))
-    seven = np.uint64((1 << 56) - 1)
+    masks = np.array([(1 << 8 * n) - 1 for n in range(8)], np.uint64)
     sizes = ends - starts
     chunks = np.cumsum((sizes + 6) // 7)
     while at < len(starts):
         before = chunks[at - 1] if at else 0
         end = max(at + 1, int(np.searchsorted(chunks, before + SPAN, "right")))
         s, size = starts[at:end], sizes[at:end]
-        values = eights[s] & seven
-        short = size < 7
-        values[short] &= (np.uint64(1) << (np.uint64(8) * size[short].astype(np.uint64))) - np.uint64(1)
+        values = eights[s] & masks[np.minimum(size, 7)]
         long = np.flatnonzero(size > 7)
+        few, long = long[size[long] <= 7 * FEW], long[size[long] > 7 * FEW]
+        for k in range(1, FEW):  # most words have few stretches; these are added step by step
+            few = few[size[few] > 7 * k]
+            more = eights[s[few] + 7 * k] & masks[np.minimum(size[few] - 7 * k, 7)]
+            values[few] = _least(values[few] + _times(more, _powers(FEW)[k]))
         if len(long):
             each = (size[long] + 6) // 7 - 1
             heads = np.cumsum(each) - each
             place = np.arange(int(each.sum())) - np.repeat(heads, each) + 1
-            more = eights[np.repeat(s[long], each) + 7 * place] & seven
-            rest = np.repeat(size[long], each) - 7 * place
-            tail = rest < 7
-            more[tail] &= (np.uint64(1) << (np.uint64(8) * rest[tail].astype(np.uint64))) - np.uint64(1)
+            more = eights[np.repeat(s[long], each) + 7 * place] & masks[np.minimum(np.repeat(size[long], each) - 7 * place, 7)]
             more = _times(more, _powers(int(each.max()) + 1)[place])
             # Halves are summed apart, so that no sum leaves 64 bits.
             high = np.add.reduceat(more >> np.uint64(32), heads)
@@ -183,12 +187,6 @@ def names(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = F
     return out
 
 
-def _lower_bytes() -> np.ndarray:
-    table = np.arange(256, dtype=np.uint8)
-    table[65:91] += 32
-    return table
-
-
 def rolled(values: np.ndarray, width: int) -> np.ndarray:
     """The name of every ``width`` consecutive values (none, if there are fewer). Stretches are joined two and two; each
     left one is stirred first, for each length in another way, so that neither sums nor swapped values agree."""
@@ -221,22 +219,77 @@ def lists(values: np.ndarray, counts: np.ndarray) -> pa.ListArray:
 
 
 def row_sums(table: np.ndarray, rows: np.ndarray, weights: np.ndarray, firsts: np.ndarray) -> np.ndarray:
-    """For each stretch that begins at ``firsts`` the sum of ``weights[k] * table[rows[k]]``: a sparse matrix times a dense one. It is
-    worked out column by column, as what is summed then lies side by side."""
+    """For each stretch that begins at ``firsts`` the sum of ``weights[k] * table[rows[k]]``: a sparse matrix times a dense one.
+    Stretches of one length are summed together, row upon row. The order is that of ``np.add.reduceat`` along a line of numbers: the
+    first and the sum of the rest, which is halved until at most ``LEAF`` are left; so a sum does not depend on its neighbours."""
     kind = np.result_type(table, weights)
-    columns, ends = np.ascontiguousarray(table.T), np.append(firsts, len(rows))
-    out, at = np.empty((len(firsts), table.shape[1]), kind), 0
-    while at < len(firsts):
-        end = max(at + 1, int(np.searchsorted(ends, ends[at] + ENTRIES, "right")) - 1)
-        some = slice(ends[at], ends[end])
-        parts = np.empty((len(columns), some.stop - some.start), table.dtype)
-        np.take(columns, rows[some], axis=1, out=parts, mode="clip")  # all are inside; this mode writes without a copy
-        parts = np.multiply(parts, weights[some], out=parts if kind == table.dtype else None)
-        out[at:end] = np.add.reduceat(parts, ends[at:end] - ends[at], axis=1).T
-        at = end
+    table, weights, sizes = table.astype(kind, copy=False), weights.astype(kind, copy=False), np.diff(np.append(firsts, len(rows)))
+    out = np.empty((len(firsts), table.shape[1]), kind)
+    short = sizes <= LEAF + 1
+    some = np.flatnonzero(short)
+    _stretches(table, rows, weights, firsts[some], sizes[some], True, out, some)
+    long = np.flatnonzero(~short)
+    if len(long):
+        split = [_leaves(n - 1) for n in sizes[long].tolist()]
+        count = np.array([len(x) for x in split])
+        leaf = np.concatenate(split)
+        ends, heads = np.cumsum(leaf), np.cumsum(count) - count
+        begin = ends - leaf + np.repeat(firsts[long] + 1 - (ends - leaf)[heads], count)
+        sums = np.empty((len(leaf), table.shape[1]), kind)
+        _stretches(table, rows, weights, begin, leaf, False, sums, np.arange(len(leaf)))
+        for k, n, head in zip(long.tolist(), sizes[long].tolist(), heads.tolist(), strict=True):
+            out[k] = table[rows[firsts[k]]] * weights[firsts[k]] + _halves(n - 1, iter(sums[head:]))
     return out
 
 
+def _stretches(table, rows, weights, firsts, sizes, lead: bool, out: np.ndarray, places: np.ndarray) -> None:
+    """Puts the sums of short stretches at their places in ``out``; ``lead``: the first entry is added last."""
+    space = np.empty((ENTRIES, table.shape[1]), table.dtype)
+    order = np.argsort(sizes, kind="stable")
+    lengths, turns = np.unique(sizes[order], return_index=True)
+    for n, turn, end in zip(lengths.tolist(), turns.tolist(), np.append(turns, len(order))[1:].tolist(), strict=True):
+        step = ENTRIES // n
+        for at in range(turn, end, step):
+            some = order[at : min(at + step, end)]
+            entry = firsts[some] + np.arange(n)[:, None]
+            parts = space[: entry.size].reshape(n, len(some), -1)
+            np.take(table, rows[entry], axis=0, out=parts, mode="clip")  # all are inside; this mode writes without a copy
+            parts *= weights[entry][:, :, None]
+            total = _leaf_sum(parts[1:] if lead and n > 1 else parts)
+            out[places[some]] = parts[0] + total if lead and n > 1 else total
+
+
+def _leaf_sum(parts: np.ndarray) -> np.ndarray:
+    """The sum over the first axis, which is used up: eight sums side by side, then what is left, one by one."""
+    total, done = parts[0], 1
+    if len(parts) >= 8:
+        done = len(parts) // 8 * 8
+        sums = parts[:8]
+        for k in range(8, done, 8):
+            sums += parts[k : k + 8]
+        while len(sums) > 1:
+            sums = sums[::2] + sums[1::2]
+        total = sums[0]
+    for k in range(done, len(parts)):
+        total += parts[k]
+    return total
+
+
+@functools.lru_cache(1 << 12)
+def _leaves(n: int) -> tuple[int, ...]:
+    """Lengths of the leaves of a sum of ``n`` numbers."""
+    half = n // 2 // 8 * 8
+    return (n,) if n <= LEAF else _leaves(half) + _leaves(n - half)
+
+
+def _halves(n: int, sums) -> np.ndarray:
+    """The sum of ``n`` numbers from the sums of its leaves."""
+    if n <= LEAF:
+        return next(sums)
+    half = n // 2 // 8 * 8
+    return _halves(half, sums) + _halves(n - half, sums)
+
+
 def row_lists(column: pa.Array) -> list[np.ndarray]:
     """The lists of a column of longs as arrays of 64-bit names; a null is an empty list."""
     flat, ends = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64), []

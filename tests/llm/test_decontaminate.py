@@ -190,3 +190,53 @@ def test_passages_that_can_hold_no_part_are_not_projected(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "_able", lambda passage, *rest: np.ones(len(passage), bool))
     whole = list(index.near(words, limits))
     assert near and [x[:3] for x in near] == [x[:3] for x in whole] and np.allclose([x[3] for x in near], [x[3] for x in whole], atol=1e-5)
+
+
+def test_terms_are_found_also_if_their_first_bits_are_equal():
+    import numpy as np
+
+    rnd = np.random.default_rng(1)
+    some = rnd.integers(0, 1 << 64, 3000, np.uint64)
+    some[:900] = (some[:900] >> np.uint64(16)) | np.uint64(77 << 48)
+    terms = decontaminate.Terms.of(some[::3])
+    words = rnd.choice(np.concatenate([some, [np.uint64(0), np.uint64((1 << 64) - 1)]]), 20000)
+    known = {int(x): k for k, x in enumerate(terms.names)}
+    want = [(k, known[int(w)]) for k, w in enumerate(words) if int(w) in known]
+    at, term = terms.find(words)
+    assert list(zip(at.tolist(), term.tolist(), strict=True)) == want
+
+
+def test_counts_of_passages_against_brute_force():
+    import numpy as np
+
+    rnd = np.random.default_rng(1)
+    sizes = np.concatenate([[0, 1, 7, 8, 9, 12, 13, 0, 200], rnd.integers(0, 60, 200)])
+    limits = np.append(0, np.cumsum(sizes))
+    at = np.flatnonzero(rnd.random(limits[-1]) < 0.6)
+    term = rnd.integers(0, 9, len(at))
+    known = dict(zip(at.tolist(), term.tolist(), strict=True))
+    for size, width in ((8, 9), (8, 1 << 40), (16, 9), (64, 9)):
+        want, begins = [], []
+        for text, n in enumerate(sizes.tolist()):
+            for a in range(0, max(size, n + size // 2 - 1) - size + 1 if n else 0, size // 2):
+                told = [known[k] for k in range(limits[text] + a, min(limits[text] + a + size, limits[text + 1])) if k in known]
+                want += [(len(begins), t, told.count(t)) for t in sorted(set(told))]
+                begins.append((limits[text] + a, text))
+        passage, terms, times, first, text = decontaminate._counted(at, term, limits, width, size)
+        assert list(zip(passage.tolist(), terms.tolist(), times.tolist(), strict=True)) == want
+        assert list(zip(first.tolist(), text.tolist(), strict=True)) == begins
+
+
+def test_a_large_batch_is_searched_piece_by_piece(spark, monkeypatch):
+    """So that what a task works on stays in the processor's caches."""
+    import pyarrow as pa
+
+    items, rows, want = planted()
+    index = next(decontaminate._indexes(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")))
+    many = [(k, t) for _ in range(1 + (3 << 20) // sum(len(t) for _, t in rows)) for k, t in rows]
+    batch = pa.record_batch([pa.array([k for k, _ in many], pa.int64()), pa.array([t for _, t in many])], names=["doc_id", "text"])
+    words, seen = decontaminate._words, []
+    monkeypatch.setattr(decontaminate, "_words", lambda column: seen.append(sum(map(len, column.to_pylist()))) or words(column))
+    found = {(d, i) for b in decontaminate._found(index, pa.int64())(iter([batch])) for d, i in zip(*(b.column(k).to_pylist() for k in range(2)), strict=True)}
+    assert found <= want and len(found) >= 0.97 * len(want)
+    assert sum(seen) >= 3 << 20 and max(seen) <= decontaminate.PIECE
